@@ -50,7 +50,19 @@ def prefer_value(
     seq: str | None = None,
 ) -> DataFrame:
     """One row per key: a row with a value if there is one, then the newest, then the first delivered."""
-    return _best_row(df, keys, F.struct(F.col(value).isNotNull(), *_tail(df, newest, seq, value)))
+    return _best_row(df, keys, F.struct(F.col(value).isNotNull(), *_tail(newest, seq, value)))
+
+
+def delivery_order(
+    newest: str = "touched", flag: str = "verification_flag", value: str = "value", seq: str | None = None
+) -> Column:
+    """What decides between deliveries of one hour: newest, best verified, with a value, first."""
+    return F.struct(
+        F.col(newest),
+        -F.coalesce(F.col(flag), F.lit(2147483647)),
+        F.col(value).isNotNull(),
+        *_tail(None, seq, value),
+    )
 
 
 def clean_observations(
@@ -66,16 +78,10 @@ def clean_observations(
     Each step keeps the best rows among the survivors of the one before, which is the same as
     taking the maximum of the three criteria in that order.
     """
-    order = F.struct(
-        F.col(newest),
-        -F.coalesce(F.col(flag), F.lit(2147483647)),
-        F.col(value).isNotNull(),
-        *_tail(df, None, seq, value),
-    )
-    return _best_row(df, keys, order)
+    return _best_row(df, keys, delivery_order(newest, flag, value, seq))
 
 
-def _tail(df: DataFrame, newest: str | None, seq: str | None, value: str) -> list[Column]:
+def _tail(newest: str | None, seq: str | None, value: str) -> list[Column]:
     """Last criteria, so that the choice never depends on row order."""
     first = [-F.col(seq)] if seq else [F.col(value)]
     return ([F.col(newest)] if newest else []) + first

@@ -30,20 +30,20 @@ def plausible(df: DataFrame, value: str = "value", floor: float = -10.0, keep_nu
 
 
 def since(df: DataFrame, start: Column, date: str = "from_time") -> DataFrame:
-    """Rows from ``start`` on; a table partitioned by month is read from that month on."""
-    if "month" in df.columns:
-        df = df.where(F.col("month") >= F.date_format(start, "yyyy-MM"))
+    """Rows from ``start`` on; a table partitioned by day is read from that day on."""
+    if "day" in df.columns:
+        df = df.where(F.col("day") >= F.to_date(start))
     return df.where(F.col(date) >= start)
 
 
 def last_days(df: DataFrame, as_of: Column, days: int = 30, date: str = "to_time") -> DataFrame:
     """Rows of the last ``days`` days before ``as_of`` (a literal or a scalar subquery).
 
-    Months hold the begin of an hour, which is up to an hour before the filtered end.
+    A partition day holds the begin of an hour, which is up to an hour before the filtered end.
     """
     start = add_days(as_of, -days)
-    if "month" in df.columns:
-        df = df.where(F.col("month") >= F.date_format(add_hours(start, -1), "yyyy-MM"))
+    if "day" in df.columns:
+        df = df.where(F.col("day") >= F.to_date(add_hours(start, -1)))
     return df.where(F.col(date) >= start)
 
 

@@ -42,25 +42,26 @@ def append_new(df: DataFrame, stored: DataFrame, target: str, keys: Sequence[str
     new_rows(df, stored, keys).write.mode("append").parquet(target)
 
 
-def with_month(df: DataFrame, date: str = "from_time") -> DataFrame:
-    return df.withColumn("month", F.date_format(date, "yyyy-MM"))
+def with_day(df: DataFrame, date: str = "from_time") -> DataFrame:
+    """Add the partition column ``day``, the UTC date of an hour's begin."""
+    return df.withColumn("day", F.to_date(date))
 
 
 def save_history(df: DataFrame, path: str, csv: str | None = None) -> None:
-    """Replace the months that occur in ``df`` and leave all others untouched.
+    """Replace the days that occur in ``df`` and leave all others untouched.
 
     ``path`` must not be what ``df`` is read from: history is rebuilt from the kept deliveries, so a
     run that dies half way is repaired by running it again.
     """
-    by = ("month", "sampling_point_id", "from_time")
-    # Ranges are cut by sampled sizes: a large month or series gets several files, a small one few.
+    by = ("day", "sampling_point_id", "from_time")
+    # Ranges are cut by sampled sizes: a large day or series gets several files, a small one few.
     (
-        with_month(df)
+        with_day(df)
         .repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
+        .partitionBy("day")
         .parquet(path)
     )
     if csv:
