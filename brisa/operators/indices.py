@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions.numbers import bin_lower_closed, bin_upper_closed, decimal_class
+from brisa.operators.joins import sized
 
 # Other names of two pollutants in the break table, and the last band.
 BREAK_ALIASES = {"pm10run": "PM10", "pm2.5run": "PM2.5"}
@@ -20,7 +21,7 @@ def _named(breaks: DataFrame) -> DataFrame:
 
 def _with_breaks(df: DataFrame, breaks: DataFrame, letters: str, key: str, dim_key: str) -> DataFrame:
     dim = breaks.select(F.col(dim_key).alias(key), *[F.col(x).alias(f"_{x}") for x in letters])
-    return df.join(dim, key, "left")
+    return df.join(sized(dim), key, "left")
 
 
 def _columns(letters: str) -> list:
@@ -100,4 +101,4 @@ def index_bands(
     ]
     color = [F.col("web_color").alias(f"{col}_color")] if colors else []
     dim = bands.select(F.col("index").cast("int").alias("_band"), *texts, *color)
-    return df.withColumn("_band", number).join(dim, "_band", "left").drop("_band")
+    return df.withColumn("_band", number).join(sized(dim), "_band", "left").drop("_band")

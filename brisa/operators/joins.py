@@ -1,11 +1,11 @@
 """Lookups and joins.
 
-No side is ever broadcast by a hint.  Spark broadcasts a side when the size it knows (file sizes,
-literal rows, or the measured size of a finished stage) is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise.  In that case adaptive
-execution splits the partitions of hot keys.  It can do so only where both sides are read straight
-from their shuffles; null-safe keys give an aggregated side a shuffle of its own and so keep a join
-to it splittable.
+Spark broadcasts a side by itself when the size it knows (file sizes, literal rows, or the measured
+size of a finished stage) is under ``spark.sql.autoBroadcastJoinThreshold``.  Dimension tables whose
+size it cannot know are counted first, see :func:`sized`; no other side is ever broadcast by a hint.
+Beyond those bounds both sides are shuffled and adaptive execution splits the partitions of hot keys.
+It can do so only where both sides are read straight from their shuffles; null-safe keys give an
+aggregated side a shuffle of its own and so keep a join to it splittable.
 """
 
 from __future__ import annotations
@@ -17,6 +17,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows up to which a dimension table of unknown size is broadcast.
+DIMENSION_ROWS = 100_000
+
+
+def known_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size; frames of unknown size report an enormous one."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def sized(dim: DataFrame) -> DataFrame:
+    """``dim``, marked for broadcast if its size is unknown to Spark and its rows are few.
+
+    At most one row more than the bound is ever counted; a larger table is left to a shuffled join.
+    """
+    threshold = dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = int(dim.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold))
+    if limit < 0 or known_bytes(dim) <= limit:
+        return dim
+    return F.broadcast(dim) if dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS else dim
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality of all keys: two missing values match."""
     return reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
@@ -59,7 +80,7 @@ def lookup(
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
     position = [order] if isinstance(order, str) else list(order or [])
-    first = (
+    first = sized(
         dim.where(F.col(dim_key).isNotNull())
         .groupBy(F.col(dim_key).alias("_key"))
         .agg(F.min_by(F.struct(*cols), F.struct(*position, *cols)).alias("_row"))

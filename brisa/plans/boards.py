@@ -14,7 +14,7 @@ from brisa.operators import aggregates
 from brisa.operators.aggregates import POLLUTANT_ORDER, rank_in
 from brisa.operators.dedupe import at_latest
 from brisa.operators.indices import index_bands
-from brisa.operators.joins import complete_pairs, lookup
+from brisa.operators.joins import complete_pairs, lookup, sized
 from brisa.operators.reshape import (
     constant_rows,
     matching_columns,
@@ -94,7 +94,7 @@ def latest_lang(board: DataFrame) -> DataFrame:
 
 def episodes(latest: DataFrame, thresholds: DataFrame, langs: Sequence[str] = tuple(text.LOCALES)) -> DataFrame:
     """Stations whose latest value reaches the pollutant's threshold, with the message for it."""
-    return latest.join(thresholds, "pollutant").where("value >= threshold").select(
+    return latest.join(sized(thresholds), "pollutant").where("value >= threshold").select(
         "station", "pollutant", "date", "value", "threshold", *[f"message_html_{x}" for x in langs]
     )
 

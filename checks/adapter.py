@@ -56,7 +56,12 @@ EPISODES = [("NO2", 30.0), ("O3", 10.0)]
 
 
 def _frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    fields = [field.split() for field in schema.split(", ")]
+    body = ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f"`{name}`" for name, _ in fields)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({names})").select(
+        *[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in fields]
+    )
 
 
 def breaks(spark: SparkSession) -> DataFrame:

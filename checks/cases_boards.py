@@ -438,7 +438,7 @@ def feed_items(spark, sf):
     ),
 )
 def graph_rows(spark, sf):
-    graph = observations.graph_rows(frames.clean(spark, sf), frames.as_of(frames.kept(spark, sf)), 20)
+    graph = observations.graph_rows(frames.measured(spark, sf), frames.as_of(frames.kept(spark, sf)), 20)
     return graph.select("sampling_point_id", "from_time", "to_time", "value", "seq", "date_local")
 
 
@@ -452,7 +452,7 @@ inv AS (SELECT date, value_low, value_high, coalesce(value_low < value_high, fal
 
 @case("temperature_inversion", sql(f"{INVERSION_SQL} SELECT * FROM inv", "parts"))
 def temperature_inversion(spark, sf):
-    return boards.temperature_inversion(observations.temperatures(frames.clean(spark, sf)), "AD0940A", "AD0941A")
+    return boards.temperature_inversion(observations.temperatures(frames.measured(spark, sf)), "AD0940A", "AD0941A")
 
 
 STALE_SQL = """SELECT last_update, date_diff('hour', last_update, now_) / 1.0::DOUBLE AS count_h,
@@ -496,7 +496,7 @@ FROM ({STALE_SQL}) f, inv i, (VALUES {rows}) t(id, lang, text_between_datetime,
 
 @case("utils_rows", sql(_utils_sql(), "conc0"))
 def utils_rows(spark, sf):
-    inversion = boards.temperature_inversion(observations.temperatures(frames.clean(spark, sf)), "AD0940A", "AD0941A")
+    inversion = boards.temperature_inversion(observations.temperatures(frames.measured(spark, sf)), "AD0940A", "AD0941A")
     return boards.utils_rows(_fresh(spark, sf), inversion, MESSAGES, "https://example.org/more")
 
 

@@ -426,7 +426,7 @@ def lookup_first(spark, sf):
     ),
 )
 def pair_by_time(spark, sf):
-    rows = observations.temperatures(frames.clean(spark, sf)).where("code = 9054")
+    rows = observations.temperatures(frames.measured(spark, sf)).where("code = 9054")
     at = lambda s: rows.where(F.col("station") == s)
     return joins.pair_by_time(at("AD0940A"), at("AD0941A"), ("940", "941"))
 
@@ -564,7 +564,7 @@ def bench_running_mean(spark, sf):
     ),
 )
 def pad_hours(spark, sf):
-    return windows.pad_hours(frames.clean(spark, sf).select("sampling_point_id", "from_time", "value"))
+    return windows.pad_hours(frames.measured(spark, sf).select("sampling_point_id", "from_time", "value"))
 
 
 @case(

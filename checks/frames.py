@@ -19,8 +19,16 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe.clean_observations(kept(spark, sf), seq="seq")
 
 
+NARROW = ("sampling_point_id", "from_time", "to_time", "value", "verification_flag", "touched", "seq")
+
+
+def measured(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned observations with just the columns that indices are made from."""
+    return dedupe.clean_observations(kept(spark, sf).select(*NARROW), seq="seq")
+
+
 def named_all(spark: SparkSession, sf: str) -> DataFrame:
-    return observations.named(filters.pollutants(clean(spark, sf)), adapter.mapping(spark))
+    return observations.named(filters.pollutants(measured(spark, sf)), adapter.mapping(spark))
 
 
 def conc0(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,19 +36,19 @@ def conc0(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conc(spark: SparkSession, sf: str) -> DataFrame:
-    return observations.concentrations(clean(spark, sf), adapter.mapping(spark))
+    return observations.concentrations(measured(spark, sf), adapter.mapping(spark))
 
 
 def index(spark: SparkSession, sf: str) -> DataFrame:
-    return observations.pollutant_indices(clean(spark, sf), adapter.mapping(spark), adapter.breaks(spark))
+    return observations.pollutant_indices(measured(spark, sf), adapter.mapping(spark), adapter.breaks(spark))
 
 
 def current(spark: SparkSession, sf: str) -> DataFrame:
-    return observations.current_indices(clean(spark, sf), adapter.mapping(spark), adapter.breaks(spark))
+    return observations.current_indices(measured(spark, sf), adapter.mapping(spark), adapter.breaks(spark))
 
 
 def parts(spark: SparkSession, sf: str) -> DataFrame:
-    return split_series(clean(spark, sf))
+    return split_series(measured(spark, sf))
 
 
 def as_of(df: DataFrame, col: str = "touched"):
