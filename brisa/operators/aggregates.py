@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.functions.timeutil import day_of
+from brisa.functions.timeutil import day_of, format_position
+from brisa.operators.joins import sized
 
 # Fixed value: pollutant order of the calendar, also used to break ties between equal indices.
 POLLUTANT_ORDER = ("SO2", "CO", "NO2", "O3", "PM10", "PM2.5")
@@ -53,7 +54,7 @@ def daily_country(daily: DataFrame, stations: DataFrame | None = None) -> DataFr
     """Worst station index per day, over the stations marked global (or over all)."""
     if stations is not None:
         chosen = stations.where("web_global").select(F.col("station_id").alias("station"))
-        daily = daily.join(chosen, "station", "left_semi")
+        daily = daily.join(sized(chosen), "station", "left_semi")
     return daily.groupBy("day").agg(F.max("aqi").alias("country_aqi"))
 
 
@@ -64,11 +65,17 @@ def country_now(board: DataFrame, station: str = "station_id") -> DataFrame:
     return board.where("web_global").agg(first.alias("_row")).where("_row IS NOT NULL").select("_row.*")
 
 
-def series_extent(
-    obs: DataFrame, key: str = "sampling_point_id", begin: str = "begin_position"
-) -> DataFrame:
-    """First and last begin per series."""
-    return obs.groupBy(key).agg(F.min(begin).alias("fromtime"), F.max(begin).alias("totime"))
+def series_extent(obs: DataFrame, key: str = "sampling_point_id", begin: str = "from_time") -> DataFrame:
+    """First and last begin per series, as ISO text.
+
+    Extremes are taken of the instants, which hash aggregation holds in place, and written as text
+    afterwards.  Repeated deliveries do not change them, so ``obs`` need not be de-duplicated.
+    """
+    return (
+        obs.groupBy(key)
+        .agg(F.min(begin).alias("_from"), F.max(begin).alias("_to"))
+        .select(key, format_position("_from").alias("fromtime"), format_position("_to").alias("totime"))
+    )
 
 
 def last_update(df: DataFrame, date: str = "date") -> DataFrame:

@@ -26,16 +26,20 @@ def known_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def sized(dim: DataFrame) -> DataFrame:
-    """``dim``, marked for broadcast if its size is unknown to Spark and its rows are few.
+def sized(side: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """``side``, marked for broadcast if Spark does not know its size and it has few rows.
 
-    At most one row more than the bound is ever counted; a larger table is left to a shuffled join.
+    ``dim`` is the table that ``side`` is made from without adding rows, when that is cheaper to
+    count.  At most one row more than the bound is counted; a larger side goes to a shuffled join.
     """
+    dim = side if dim is None else dim
     threshold = dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = int(dim.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold))
-    if limit < 0 or known_bytes(dim) <= limit:
-        return dim
-    return F.broadcast(dim) if dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS else dim
+    if threshold.startswith("-"):
+        return side
+    limit = dim.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    if known_bytes(dim) <= int(limit):
+        return side
+    return F.broadcast(side) if dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS else side
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -80,12 +84,12 @@ def lookup(
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
     position = [order] if isinstance(order, str) else list(order or [])
-    first = sized(
+    first = (
         dim.where(F.col(dim_key).isNotNull())
         .groupBy(F.col(dim_key).alias("_key"))
         .agg(F.min_by(F.struct(*cols), F.struct(*position, *cols)).alias("_row"))
     )
-    return df.join(first, F.col(left_key).eqNullSafe(F.col("_key")), "left").select(
+    return df.join(sized(first, dim), F.col(left_key).eqNullSafe(F.col("_key")), "left").select(
         *[F.col(c) for c in df.columns], *[F.col("_row").getField(c).alias(c) for c in cols]
     )
 

@@ -13,6 +13,7 @@ from brisa.functions.numbers import floor_int, plain_number
 from brisa.operators import aggregates
 from brisa.operators.aggregates import POLLUTANT_ORDER, rank_in
 from brisa.operators.dedupe import at_latest
+from brisa.operators.filters import pollutants
 from brisa.operators.indices import index_bands
 from brisa.operators.joins import complete_pairs, lookup, sized
 from brisa.operators.reshape import (
@@ -120,7 +121,7 @@ def stations_lang(dim: DataFrame) -> DataFrame:
 
 def series_catalogue(published: DataFrame, mapping: DataFrame, stations: DataFrame) -> DataFrame:
     """Every pollutant series with a label and its first and last hour."""
-    extent = aggregates.series_extent(published).where(~text.is_meteo(F.col("sampling_point_id")))
+    extent = aggregates.series_extent(pollutants(published))
     parts = extent.withColumns(
         {
             "station": text.series_station(F.col("sampling_point_id")),

@@ -12,9 +12,10 @@ from brisa.functions import text, timeutil
 from brisa.operators.dedupe import best_verified, clean_observations, prefer_value
 from brisa.operators.filters import drop_future, last_days, meteo, plausible, pollutants, since
 from brisa.operators.indices import aqi_decimal
-from brisa.operators.joins import lookup, new_rows, only_in, stack
+from brisa.operators.joins import lookup, new_rows, stack
 from brisa.operators.reshape import split_series
 from brisa.operators.windows import AVERAGING_HOURS, assign_ids, running_means
+from brisa.sources.readers import load_series
 from brisa.sources.writers import typed, with_sentinels
 
 STORED_KEYS = (
@@ -122,7 +123,7 @@ def reconcile(
     Duplicated hours keep their best verified rows; rows are numbered by series and time.
     """
     columns = [f.name for f in schemas.OBSERVATIONS.fields]
-    known = only_in(incoming, series, ["sampling_point_id"])
+    known = load_series(incoming, series)
     merged = stack(stored.select(*columns), new_rows(known.select(*columns), stored, keys))
     best = best_verified(merged).distinct()
     first = ["sampling_point_id", "from_time"]

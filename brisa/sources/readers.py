@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from brisa import schemas
 from brisa.functions import timeutil
 from brisa.functions.numbers import decimal_comma, sentinel_to_null
-from brisa.operators.joins import only_in, stack
+from brisa.operators.joins import only_in, sized, stack
 
 
 def typed_drop(raw: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def read_observations(
 
 def load_series(df: DataFrame, ids: DataFrame, key: str = "sampling_point_id") -> DataFrame:
     """Rows of the listed series in one scan; series without rows simply add nothing."""
-    return only_in(df, ids, [key])
+    return only_in(df, sized(ids), [key])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -299,7 +299,7 @@ def map_xy(spark, sf):
     ),
 )
 def series_extent(spark, sf):
-    return aggregates.series_extent(frames.clean(spark, sf))
+    return aggregates.series_extent(frames.kept(spark, sf))
 
 
 @case(
@@ -316,7 +316,7 @@ def series_extent(spark, sf):
     ),
 )
 def series_catalogue(spark, sf):
-    return boards.series_catalogue(frames.clean(spark, sf), adapter.mapping(spark), adapter.stations(spark))
+    return boards.series_catalogue(frames.kept(spark, sf), adapter.mapping(spark), adapter.stations(spark))
 
 
 @case(
