@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brisa.functions import text
 from brisa.functions.timeutil import add_days, add_hours
+from brisa.operators.joins import only_in
 
 
 def drop_future(df: DataFrame) -> DataFrame:
@@ -47,6 +48,22 @@ def last_days(df: DataFrame, as_of: Column, days: int = 30, date: str = "to_time
     return df.where(F.col(date) >= start)
 
 
+# Calendar days that a list of days may have before it is joined instead of written into the filter.
+LISTED_DAYS = 10_000
+
+
+def on_days(df: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of a table partitioned by ``day`` on the given days, reading only their partitions.
+
+    The days (one per calendar day, so few) become literals of the partition filter.  More of them
+    than the bound are never fetched; they are joined.
+    """
+    listed = [r[0] for r in days.select("day").distinct().limit(LISTED_DAYS + 1).collect()]
+    if len(listed) > LISTED_DAYS:
+        return only_in(df, days, ["day"])
+    return df.where(F.col("day").isin(listed))
+
+
 def any_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where at least one of ``cols`` has a value."""
     return df.where(F.coalesce(*cols).isNotNull())

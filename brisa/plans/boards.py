@@ -205,15 +205,20 @@ def map_lang(board: DataFrame) -> DataFrame:
 # --- daily calendars -----------------------------------------------------------------------------
 
 
-def daily_rows(index: DataFrame, bands: DataFrame, names: Sequence[str] = POLLUTANT_ORDER) -> DataFrame:
-    """Worst index per day, station and each pollutant in ``names``, with the station's worst beside it.
+def daily_wide(index: DataFrame, names: Sequence[str] = POLLUTANT_ORDER) -> DataFrame:
+    """Worst index per day and station (``aqi``) and of each pollutant in ``names``, side by side.
 
-    One aggregate holds a day's pollutants and their worst together, so nothing is joined back.
+    One hash aggregate of doubles holds a day's pollutants and their worst together, so nothing is
+    joined back.
     """
-    daily = index.withColumn("day", timeutil.day_of("date")).groupBy("day", "station").agg(
+    return index.groupBy(timeutil.day_of("date").alias("day"), "station").agg(
         F.max("index").alias("aqi"),
         *[F.max(F.when(F.col("pollutant") == p, F.col("index"))).alias(p) for p in names],
     )
+
+
+def daily_rows(daily: DataFrame, bands: DataFrame, names: Sequence[str] = POLLUTANT_ORDER) -> DataFrame:
+    """:func:`daily_wide` as one row per pollutant, missing ones included, with bands."""
     long = unpivot_values(daily, names, ["day", "station", "aqi"], values_to="index")
     return index_bands(index_bands(long, bands, "index"), bands, "aqi")
 
@@ -227,9 +232,9 @@ def calendar_order(
     )
 
 
-def calendar(index: DataFrame, bands: DataFrame) -> DataFrame:
-    """The numbered calendar with all its columns."""
-    return assign_ids(daily_rows(index, bands), ["day", "station", "pollutant"], "pAQ")
+def calendar(daily: DataFrame, bands: DataFrame) -> DataFrame:
+    """The numbered calendar with all its columns, from :func:`daily_wide`."""
+    return assign_ids(daily_rows(daily, bands), ["day", "station", "pollutant"], "pAQ")
 
 
 def calendar_common(board: DataFrame) -> DataFrame:
@@ -240,11 +245,10 @@ def calendar_lang(board: DataFrame) -> DataFrame:
     return to_lang_rows(board, ["id"], {"pollutant_band": "index_band_", "aqi_band": "aqi_band_"})
 
 
-def country_calendar(index: DataFrame, stations: DataFrame | None, bands: DataFrame) -> DataFrame:
-    """Numbered worst index per day over the global stations."""
+def country_calendar(daily: DataFrame, stations: DataFrame | None, bands: DataFrame) -> DataFrame:
+    """Numbered worst index per day over the global stations; ``daily`` has (day, station, aqi)."""
     dim = station_rows(stations) if stations is not None else None
-    daily = aggregates.daily_country(aggregates.daily_station_aqi(index), dim)
-    return assign_ids(index_bands(daily, bands, "country_aqi"), ["day"], "GAQ")
+    return assign_ids(index_bands(aggregates.daily_country(daily, dim), bands, "country_aqi"), ["day"], "GAQ")
 
 
 def country_common(board: DataFrame) -> DataFrame:
@@ -255,12 +259,10 @@ def country_lang(board: DataFrame) -> DataFrame:
     return to_lang_rows(board, ["id"], {"band": "country_aqi_band_"})
 
 
-def daily_bands(index: DataFrame, bands: DataFrame, lang: str = "EN") -> DataFrame:
+def daily_bands(daily_table: DataFrame, bands: DataFrame, lang: str = "EN") -> DataFrame:
     """Single-language daily table: station and pollutant bands with the country's band of the day."""
-    daily = daily_rows(index, bands)
-    country = index_bands(
-        aggregates.daily_country(aggregates.daily_station_aqi(index)), bands, "country_aqi", [lang]
-    )
+    daily = daily_rows(daily_table, bands)
+    country = index_bands(aggregates.daily_country(daily_table), bands, "country_aqi", [lang])
     return daily.join(country, "day", "left").select(
         "day",
         "station",

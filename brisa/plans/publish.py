@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.operators.filters import plausible, pollutants
+from brisa.functions import timeutil
+from brisa.operators.filters import on_days, plausible, pollutants
 from brisa.operators.reshape import expected_pairs
 from brisa.plans import boards, observations
+from brisa.schemas import OBSERVATIONS
 from brisa.session import configure, write_out
 from brisa.sources.readers import clean_sentinels, read_history
-from brisa.sources.writers import publish, save_history, with_sentinels
+from brisa.sources.writers import publish, save_days, save_history, with_day, with_sentinels
 
 
 @dataclass(frozen=True)
@@ -32,19 +34,51 @@ class Dimensions:
     high_station: str
 
 
-def site_tables(clean: DataFrame, dims: Dimensions, as_of: Column) -> dict[str, DataFrame]:
-    """Name -> table, from cleaned observations (missing values as nulls) and the present time.
+def refresh_observations(deliveries: DataFrame, days: DataFrame, path: str) -> None:
+    """Rebuild the published observations of the given days from all kept deliveries."""
+    rows = on_days(deliveries if "day" in deliveries.columns else with_day(deliveries), days)
+    clean = observations.published_observations(rows.drop("day"))
+    save_history(with_sentinels(clean.select(*[f.name for f in OBSERVATIONS.fields])), path)
 
-    ``clean`` should be a stored table: the boards read its last hours, the graph its last days and
-    the calendars all of it.
+
+def _around(days: DataFrame, first: int, last: int) -> DataFrame:
+    """The days and their neighbours from ``first`` to ``last`` days away."""
+    offsets = F.array(*[F.lit(n) for n in range(first, last + 1)])
+    return days.select(F.explode(F.transform(offsets, lambda n: F.date_add("day", n))).alias("day")).distinct()
+
+
+def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, path: str) -> None:
+    """Rebuild the stored indices that a change on the given days can reach.
+
+    Running means look back less than a day: they change on a day and the next, and the hours they
+    need start the day before.
+    """
+    rows = on_days(clean, _around(days, -1, 1))
+    index = observations.pollutant_indices(rows.drop("day"), dims.mapping, dims.breaks)
+    stored = with_day(index.withColumn("_begin", timeutil.add_hours("date", -1)), "_begin").drop("_begin")
+    save_days(on_days(stored, _around(days, 0, 1)), path, "station", "date")
+
+
+def refresh_daily(index: DataFrame, days: DataFrame, path: str) -> None:
+    """Rebuild the daily worst of the days that :func:`refresh_indices` can have changed.
+
+    The last hour that begins on a day ends on the next one and belongs to its calendar day.
+    """
+    rows = on_days(index, _around(days, -1, 2)).drop("day")
+    save_days(on_days(boards.daily_wide(rows), _around(days, 0, 2)), path, "station")
+
+
+def site_tables(clean: DataFrame, daily: DataFrame, dims: Dimensions, as_of: Column) -> dict[str, DataFrame]:
+    """Name -> table, from stored observations, the stored daily worst and the present time.
+
+    The latest boards read the last hours of the observations and the graph their last days.
     """
-    index = write_out(observations.pollutant_indices(clean, dims.mapping, dims.breaks), "index")
     current = write_out(observations.current_indices(clean, dims.mapping, dims.breaks), "current")
     pairs = expected_pairs(dims.pollutants_stations)
     latest = boards.latest_board(current, dims.mapping, pairs, dims.bands)
     on_map = boards.map_board(current, dims.stations, dims.bands)
-    daily = boards.calendar(index, dims.bands)
-    country = boards.country_calendar(index, dims.stations, dims.bands)
+    by_pollutant = boards.calendar(daily, dims.bands)
+    country = boards.country_calendar(daily, dims.stations, dims.bands)
     present = plausible(pollutants(clean), keep_null=False)
     freshness = boards.staleness(present, as_of, date="to_time")
     inversion = boards.temperature_inversion(
@@ -62,20 +96,31 @@ def site_tables(clean: DataFrame, dims: Dimensions, as_of: Column) -> dict[str,
         "web_map_lang": boards.map_lang(on_map),
         "web_observations_graph": observations.graph_rows(clean, as_of, sentinel=True),
         "web_utils": boards.utils_rows(freshness, inversion, dims.inversion_messages, dims.more_info_url),
-        "web_daily_aq_poll": boards.calendar_common(daily),
-        "web_daily_aq_poll_lang": boards.calendar_lang(daily),
+        "web_daily_aq_poll": boards.calendar_common(by_pollutant),
+        "web_daily_aq_poll_lang": boards.calendar_lang(by_pollutant),
         "web_daily_aq_global": boards.country_common(country),
         "web_daily_aq_global_lang": boards.country_lang(country),
     }
 
 
-def publish_site(obs: DataFrame, dims: Dimensions, folder: str, as_of: Column) -> list[str]:
-    """Clean and store the observations, then write every table below ``folder``; returns their names."""
-    spark = configure(obs.sparkSession)
-    stored = f"{folder.rstrip('/')}/web_observations"
-    save_history(with_sentinels(observations.published_observations(obs)), stored)
-    clean = clean_sentinels(read_history(spark, stored))
-    tables = site_tables(clean, dims, as_of)
+def publish_site(
+    deliveries: DataFrame, dims: Dimensions, folder: str, as_of: Column, days: DataFrame | None = None
+) -> list[str]:
+    """Store observations, indices and daily worst below ``folder``, then write every table of the site.
+
+    ``deliveries`` are all kept deliveries (missing values as nulls).  With ``days``, the days of the
+    newest ones, only what those can change is rebuilt; without, everything is.  Returns the names
+    of the published tables.
+    """
+    spark = configure(deliveries.sparkSession)
+    path = {n: f"{folder.rstrip('/')}/{n}" for n in ("web_observations", "indices", "daily")}
+    changed = with_day(deliveries).select("day").distinct() if days is None else days.select("day").distinct()
+    changed = write_out(changed, "days")
+    refresh_observations(deliveries, changed, path["web_observations"])
+    clean = clean_sentinels(read_history(spark, path["web_observations"]))
+    refresh_indices(clean, changed, dims, path["indices"])
+    refresh_daily(spark.read.parquet(path["indices"]), changed, path["daily"])
+    tables = site_tables(clean, spark.read.parquet(path["daily"]), dims, as_of)
     for name, table in tables.items():
         publish(table, f"{folder.rstrip('/')}/{name}")
     return ["web_observations", *tables]

@@ -47,23 +47,31 @@ def with_day(df: DataFrame, date: str = "from_time") -> DataFrame:
     return df.withColumn("day", F.to_date(date))
 
 
-def save_history(df: DataFrame, path: str, csv: str | None = None) -> None:
-    """Replace the days that occur in ``df`` and leave all others untouched.
+def save_days(df: DataFrame, path: str, *order: str) -> None:
+    """Replace the days (partition column ``day``) that occur in ``df`` and leave all others untouched.
 
-    ``path`` must not be what ``df`` is read from: history is rebuilt from the kept deliveries, so a
-    run that dies half way is repaired by running it again.
+    Ranges of (day, ``order``) are cut by sampled sizes: a large day or series gets several files, a
+    small one few, and a file's statistics cover a narrow range.  ``path`` must not be what ``df`` is
+    read from.
     """
-    by = ("day", "sampling_point_id", "from_time")
-    # Ranges are cut by sampled sizes: a large day or series gets several files, a small one few.
+    by = ("day", *order)
     (
-        with_day(df)
-        .repartitionByRange(*by)
+        df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )
+
+
+def save_history(df: DataFrame, path: str, csv: str | None = None) -> None:
+    """Store observations by the day of their begin, replacing only the days that occur.
+
+    History is rebuilt from the kept deliveries, so a run that dies half way is repaired by running
+    it again.
+    """
+    save_days(with_day(df), path, "sampling_point_id", "from_time")
     if csv:
         df.write.mode("overwrite").option("header", True).csv(csv)
 

@@ -16,6 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from brisa import schemas
 from brisa.operators.dedupe import latest_wins
+from brisa.operators.filters import on_days
 from brisa.operators.joins import only_in, stack
 from brisa.plans.alerts import ingest_alerts
 from brisa.sources.readers import typed_drop
@@ -68,8 +69,7 @@ def upsert_history(deliveries: str, history: str) -> Callable[[DataFrame, int],
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = keep_batch(with_day(batch), batch_id, deliveries)
-        touched = kept.where(F.col("batch_id") == batch_id).select("day").distinct()
-        days = only_in(kept, touched, ["day"])
+        days = on_days(kept, kept.where(F.col("batch_id") == batch_id))
         save_history(latest_wins(days.drop("batch_id", "day")), history)
 
     return write

@@ -517,7 +517,7 @@ cal AS (
 
 @case("calendar", sql(f"{CALENDAR_SQL} SELECT * FROM cal", "idx", "bands"))
 def calendar(spark, sf):
-    return boards.calendar(frames.index(spark, sf), adapter.bands(spark))
+    return boards.calendar(boards.daily_wide(frames.index(spark, sf)), adapter.bands(spark))
 
 
 @case(
@@ -531,7 +531,7 @@ def calendar(spark, sf):
     ),
 )
 def calendar_common(spark, sf):
-    return boards.calendar_common(boards.calendar(frames.index(spark, sf), adapter.bands(spark)))
+    return boards.calendar_common(boards.calendar(boards.daily_wide(frames.index(spark, sf)), adapter.bands(spark)))
 
 
 @case(
@@ -546,7 +546,7 @@ UNION ALL SELECT id, 'fr-FR', "index_band_FR", "aqi_band_FR" FROM cal""",
     ),
 )
 def calendar_lang(spark, sf):
-    return boards.calendar_lang(boards.calendar(frames.index(spark, sf), adapter.bands(spark)))
+    return boards.calendar_lang(boards.calendar(boards.daily_wide(frames.index(spark, sf)), adapter.bands(spark)))
 
 
 COUNTRY_SQL = f"""
@@ -559,7 +559,8 @@ COUNTRY_VIEWS = ("idx", "bands", "stations")
 
 
 def _country(spark, sf):
-    return boards.country_calendar(frames.index(spark, sf), adapter.stations(spark), adapter.bands(spark))
+    daily = aggregates.daily_station_aqi(frames.index(spark, sf))
+    return boards.country_calendar(daily, adapter.stations(spark), adapter.bands(spark))
 
 
 @case(
@@ -598,7 +599,7 @@ FROM cal c LEFT JOIN (SELECT day, max(aqi) AS country_aqi FROM worst GROUP BY da
     ),
 )
 def daily_with_country(spark, sf):
-    return boards.daily_bands(frames.index(spark, sf), adapter.bands(spark))
+    return boards.daily_bands(boards.daily_wide(frames.index(spark, sf)), adapter.bands(spark))
 
 
 # --- pollen ---------------------------------------------------------------------------------------

@@ -63,6 +63,24 @@ def test_a_second_run_gives_the_same_tables(spark, tmp_path, rows):
         assert rows(a, *sorted(a.columns)) == rows(b, *sorted(a.columns)), name
 
 
+def test_publishing_only_changed_days_equals_publishing_everything(spark, tmp_path, rows):
+    obs = adapter.obs(spark, "/root/testdata/sf0.01").drop("seq")
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    dims = dimensions(spark)
+    late = F.to_date("from_time").isin("2024-01-09", "2024-01-10", "2024-01-30") & (F.col("validation_flag") == 1)
+    publish.publish_site(obs, dims, f"{tmp_path}/whole", as_of)
+    publish.publish_site(obs.where(~late), dims, f"{tmp_path}/steps", as_of)
+    kept = {f for f in spark.read.parquet(f"{tmp_path}/steps/indices").inputFiles()}
+    days = obs.where(late).select(F.to_date("from_time").alias("day"))
+    names = publish.publish_site(obs, dims, f"{tmp_path}/steps", as_of, days)
+    for name in [*names, "indices", "daily"]:
+        a, b = (spark.read.parquet(f"{tmp_path}/{f}/{name}") for f in ("whole", "steps"))
+        columns = [f"`{c}`" for c in sorted(a.columns)]
+        assert rows(a, *columns) == rows(b, *columns), name
+    # most days were not written again
+    assert len(kept & set(spark.read.parquet(f"{tmp_path}/steps/indices").inputFiles())) > len(kept) / 2
+
+
 def test_stored_observations_keep_their_schema(spark, tmp_path):
     obs = adapter.obs(spark, "/root/testdata/sf0.001").drop("seq")
     publish.publish_site(obs, dimensions(spark), str(tmp_path), F.lit("2024-01-31 00:00:00").cast("timestamp"))
