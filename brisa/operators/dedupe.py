@@ -81,6 +81,25 @@ def clean_observations(
     return _best_row(df, keys, delivery_order(newest, flag, value, seq))
 
 
+def best_observations(
+    df: DataFrame,
+    keys: Sequence[str] = ("sampling_point_id", "to_time"),
+    flag: str = "verification_flag",
+    value: str = "value",
+    newest: str = "touched",
+    seq: str | None = None,
+) -> DataFrame:
+    """:func:`best_verified` and :func:`prefer_value` as one aggregate, whatever the delivery time.
+
+    For rows of different origin, such as stored and delivered ones: a validated value outranks a
+    newer raw one.
+    """
+    order = F.struct(
+        -F.coalesce(F.col(flag), F.lit(2147483647)), F.col(value).isNotNull(), *_tail(newest, seq, value)
+    )
+    return _best_row(df, keys, order)
+
+
 def _tail(newest: str | None, seq: str | None, value: str) -> list[Column]:
     """Last criteria, so that the choice never depends on row order."""
     first = [-F.col(seq)] if seq else [F.col(value)]

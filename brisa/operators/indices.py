@@ -85,16 +85,23 @@ def pollen_level(
 
 
 def index_bands(
-    df: DataFrame, bands: DataFrame, col: str = "index", langs: Sequence[str] = ("CAT", "EN", "FR"), colors: bool = True
+    df: DataFrame,
+    bands: DataFrame,
+    col: str = "index",
+    langs: Sequence[str] = ("CAT", "EN", "FR"),
+    colors: bool = True,
+    last: int = LAST_BAND,
 ) -> DataFrame:
     """Add band texts ``<col>_band_<lang>`` and the colour ``<col>_color`` of a decimal index.
 
-    A missing index has no band and the colour of the table's row 0.
+    Everything from ``last`` on is in the last band (earlier scales end at 5).  A missing index has
+    no band and the colour of the table's row 0.
     """
+    index = F.col(f"`{col}`")
     number = (
-        F.when(F.col(f"`{col}`").isNull(), F.lit(0))
-        .when(F.col(f"`{col}`") >= LAST_BAND, F.lit(LAST_BAND))
-        .when(F.col(f"`{col}`") >= 1, F.floor(F.col(f"`{col}`")).cast("int"))
+        F.when(index.isNull(), F.lit(0))
+        .when(index >= last, F.lit(last))
+        .when(index >= 1, F.floor(index).cast("int"))
     )
     texts = [
         F.when(F.col("index") > 0, F.col(f"web_band_{lang}")).alias(f"{col}_band_{lang}") for lang in langs

@@ -13,7 +13,7 @@ from brisa.functions.numbers import floor_int, plain_number
 from brisa.operators import aggregates
 from brisa.operators.aggregates import POLLUTANT_ORDER, rank_in
 from brisa.operators.dedupe import at_latest
-from brisa.operators.filters import pollutants
+from brisa.operators.filters import finite, pollutants
 from brisa.operators.indices import index_bands
 from brisa.operators.joins import complete_pairs, lookup, sized
 from brisa.operators.reshape import (
@@ -46,10 +46,14 @@ class MapBox:
 # --- latest values -------------------------------------------------------------------------------
 
 
-def latest_rows(current: DataFrame, mapping: DataFrame, pairs: DataFrame, bands: DataFrame) -> DataFrame:
-    """Board rows for every expected (station, pollutant), bands and periods included.
+def latest_rows(
+    current: DataFrame, mapping: DataFrame, pairs: DataFrame | None, bands: DataFrame
+) -> DataFrame:
+    """Board rows with bands and periods, for every expected (station, pollutant).
 
-    ``current`` holds the indices at the latest hour.
+    ``current`` holds the indices at the latest hour; indices at each station's own latest time
+    (:func:`latest_per_station`) give the earlier form of the board, as does leaving out ``pairs``:
+    then only pollutants with an index are shown.
     """
     indexed = current.where(~F.col("pollutant").isin(*WITHOUT_INDEX))
     described = lookup(index_bands(indexed, bands), mapping, ("pollutant", "notation"), ["web_units"])
@@ -58,7 +62,10 @@ def latest_rows(current: DataFrame, mapping: DataFrame, pairs: DataFrame, bands:
         "concentration",
         F.when(F.col("index").isNotNull(), F.concat_ws(" ", plain_number(amount), F.col("web_units"))),
     )
-    board = complete_pairs(shown, pairs)
+    if pairs is None:
+        board = finite(shown, "index")
+    else:
+        board = complete_pairs(shown, pairs)
     return lookup(
         board,
         mapping,
@@ -67,7 +74,9 @@ def latest_rows(current: DataFrame, mapping: DataFrame, pairs: DataFrame, bands:
     )
 
 
-def latest_board(current: DataFrame, mapping: DataFrame, pairs: DataFrame, bands: DataFrame) -> DataFrame:
+def latest_board(
+    current: DataFrame, mapping: DataFrame, pairs: DataFrame | None, bands: DataFrame
+) -> DataFrame:
     """The numbered board with all its columns; missing entries read ``-``."""
     rows = latest_rows(current, mapping, pairs, bands)
     dash = F.lit("-")
@@ -175,7 +184,10 @@ def map_xy(df: DataFrame, box: MapBox = MapBox(), lat: str = "web_lat", lon: str
 
 
 def map_board(current: DataFrame, stations: DataFrame, bands: DataFrame, box: MapBox = MapBox()) -> DataFrame:
-    """Worst index per station at the latest hour (``current``), with its place on the map."""
+    """Worst index per station at the latest hour, with its place on the map.
+
+    ``current`` holds the indices at the latest hour, or at each station's own latest time.
+    """
     worst = index_bands(aggregates.station_aqi(current), bands, "aqi")
     placed = lookup(
         worst, station_rows(stations), ("station", "station_id"), ["web_global", "web_name", "web_lat", "web_long"]
@@ -342,3 +354,32 @@ def utils_rows(
         "lang",
         "count_h",
     )
+
+
+# Wording and date formats of the dated message.
+DATED_MESSAGE = {
+    "CAT": ("Les dades es van actualitzar per &uacute;ltima vegada el ", "dd-MM-yyyy 'a les' HH:mm"),
+    "EN": ("The data were last updated on ", "dd-MM-yyyy 'at' HH:mm"),
+    "FR": (
+        "Les donn&eacute;es ont &eacute;t&eacute; mises &agrave; jour pour la derni&egrave;re fois le ",
+        "dd-MM-yyyy '&agrave;' HH:mm",
+    ),
+}
+
+
+def utils_dated(freshness: DataFrame, margin: int = OLD_DATA_HOURS) -> DataFrame:
+    """Earlier form of :func:`utils_rows`: the message names the last update, at the fixed offset."""
+    at_offset = F.from_utc_timestamp("last_update", timeutil.OFFSET)
+    rows = [
+        F.struct(
+            F.lit(f"U{n}").alias("id"),
+            F.concat(F.lit(words), F.date_format(at_offset, pattern)).alias("old_data_message"),
+            F.lit(code).alias("lang"),
+        )
+        for n, (code, (words, pattern)) in enumerate(DATED_MESSAGE.items(), 1)
+    ]
+    return freshness.select(
+        at_offset.cast("timestamp_ntz").alias("last_update"),
+        F.lit(margin).alias("margin"),
+        F.inline(F.array(*rows)),
+    )

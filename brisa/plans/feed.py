@@ -20,10 +20,15 @@ def _plain(band: Column) -> Column:
     return F.replace(band, F.lit("&middot;"), F.lit("·"))
 
 
-def aqi_message(board: DataFrame, as_of: Column, place: str, lang: str = "CAT", ending: str = "") -> DataFrame:
-    """One text with the worst band of the country and the local hour."""
+def aqi_message(
+    board: DataFrame, as_of: Column, place: str, lang: str = "CAT", ending: str = "", template: str = MESSAGE
+) -> DataFrame:
+    """One text with the worst band of the country and the local hour.
+
+    ``template`` takes place, hour, band and index; other scales and tagged wordings are templates too.
+    """
     body = F.format_string(
-        MESSAGE,
+        template,
         F.lit(place),
         F.hour(timeutil.local_time(as_of)),
         _plain(F.col(f"aqi_band_{lang}")),

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from brisa import schemas
 from brisa.functions import text, timeutil
-from brisa.operators.dedupe import best_verified, clean_observations, prefer_value
+from brisa.operators.dedupe import (
+    best_observations,
+    best_verified,
+    clean_observations,
+    prefer_value,
+)
 from brisa.operators.filters import drop_future, last_days, meteo, plausible, pollutants, since
 from brisa.operators.indices import aqi_decimal
-from brisa.operators.joins import lookup, new_rows, stack
+from brisa.operators.joins import lookup, merge_rows, new_rows, stack
 from brisa.operators.reshape import split_series
 from brisa.operators.windows import AVERAGING_HOURS, assign_ids, running_means
 from brisa.sources.readers import load_series
@@ -65,6 +70,26 @@ def published_observations(obs: DataFrame, seq: str | None = None) -> DataFrame:
     return clean_observations(drop_future(obs), seq=seq)
 
 
+def with_stored(obs: DataFrame, stored: DataFrame, seq: str | None = None) -> DataFrame:
+    """Published observations when older stored rows take part: one best verified row per series and hour.
+
+    Deliveries are settled among themselves first; a stored row then competes by its verification.
+    """
+    delivered = clean_observations(drop_future(obs), seq=seq)
+    return best_observations(merge_rows(stored.drop("id"), delivered), seq=seq)
+
+
+def series_dimension(capabilities: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Known series with station, pollutant notation and unit, from vocabulary uris."""
+    found = lookup(capabilities, vocabulary, ("pollutant", "uri"), ["notation"])
+    return found.select(
+        "sampling_point_id",
+        text.series_station(F.col("sampling_point_id")).alias("station"),
+        F.col("notation").alias("pollutant"),
+        text.last_token(F.col("concentration")).alias("units"),
+    )
+
+
 def named(clean: DataFrame, mapping: DataFrame) -> DataFrame:
     """Long (station, date, pollutant, value) rows; ``date`` is the end of the hour.
 

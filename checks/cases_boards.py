@@ -221,6 +221,42 @@ def latest_lang(spark, sf):
     return boards.latest_lang(_board(spark, sf))
 
 
+@case(
+    "latest_own_time",
+    sql(
+        f"""
+, mine AS (SELECT * EXCLUDE (r) FROM (SELECT *, rank() OVER (PARTITION BY station ORDER BY date DESC) AS r FROM idx) WHERE r = 1)
+SELECT i.station, i.date, i.pollutant, floor(i.value) AS amount, i.index, b.band_EN AS band, b.color,
+       m.web_period_EN AS period
+FROM mine i {BAND_JOIN.format(b='b', c='i.index')}
+LEFT JOIN (SELECT * FROM mapping WHERE pos <> 6) m ON i.pollutant = m.notation WHERE i.index IS NOT NULL""",
+        "idx",
+        "bands",
+    ),
+)
+def latest_own_time(spark, sf):
+    own = dedupe.latest_per_station(frames.index(spark, sf))
+    rows = boards.latest_rows(own, adapter.mapping(spark), None, adapter.bands(spark))
+    return rows.select(
+        "station", "date", "pollutant", F.floor("value").cast("double").alias("amount"), "index",
+        F.col("index_band_EN").alias("band"), F.col("index_color").alias("color"), F.col("web_period_EN").alias("period"),
+    )
+
+
+@case(
+    "index_bands_five",
+    sql(
+        """SELECT i.station, i.date, i.pollutant, i.index, b.band_CAT AS "index_band_CAT" FROM (SELECT * FROM idx WHERE index IS NOT NULL) i
+           LEFT JOIN bands b ON b.idx = CASE WHEN i.index >= 5 THEN 5 WHEN i.index >= 1 THEN floor(i.index) END""",
+        "idx",
+        "bands",
+    ),
+)
+def index_bands_five(spark, sf):
+    rows = filters.finite(frames.index(spark, sf), "index").drop("value")
+    return indices.index_bands(rows, adapter.bands(spark), langs=["CAT"], colors=False, last=5)
+
+
 @case(
     "episodes",
     sql(
@@ -500,6 +536,22 @@ def utils_rows(spark, sf):
     return boards.utils_rows(_fresh(spark, sf), inversion, MESSAGES, "https://example.org/more")
 
 
+@case(
+    "utils_dated",
+    sql(
+        """SELECT t + INTERVAL 1 HOUR AS last_update, 3 AS margin, id, words || strftime(t + INTERVAL 1 HOUR, '%d-%m-%Y') || mid || strftime(t + INTERVAL 1 HOUR, '%H:%M') AS old_data_message, lang
+           FROM (SELECT max(date) AS t FROM conc0 WHERE value IS NOT NULL), (VALUES
+             ('U1', 'CAT', 'Les dades es van actualitzar per &uacute;ltima vegada el ', ' a les '),
+             ('U2', 'EN', 'The data were last updated on ', ' at '),
+             ('U3', 'FR', 'Les donn&eacute;es ont &eacute;t&eacute; mises &agrave; jour pour la derni&egrave;re fois le ',
+              ' &agrave; ')) v(id, lang, words, mid)""",
+        "conc0",
+    ),
+)
+def utils_dated(spark, sf):
+    return boards.utils_dated(_fresh(spark, sf))
+
+
 # --- calendars ------------------------------------------------------------------------------------
 
 CALENDAR_SQL = f"""

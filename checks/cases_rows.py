@@ -280,6 +280,45 @@ def recent_observations(spark, sf):
     return observations.recent_observations(rows, frames.as_of(rows), seq="seq").select(COLS)
 
 
+@case(
+    "with_stored",
+    sql(
+        f"""
+, stored AS (SELECT {ROW} FROM obs WHERE verification_flag = 1),
+both_ AS (SELECT {ROW} FROM clean UNION SELECT * FROM stored)
+SELECT {ROW} FROM (SELECT *, row_number() OVER (PARTITION BY sampling_point_id, to_time
+   ORDER BY verification_flag NULLS LAST, (value IS NULL), touched DESC, seq) AS r FROM both_) WHERE r = 1""",
+        "clean",
+    ),
+)
+def with_stored(spark, sf):
+    rows = adapter.obs(spark, sf)
+    return observations.with_stored(rows, rows.where("verification_flag = 1"), seq="seq").select(COLS)
+
+
+@case(
+    "series_dimension",
+    sql(
+        """SELECT DISTINCT sampling_point_id, substr(sampling_point_id, 5, 7) AS station, m.notation AS pollutant,
+                  CASE WHEN sampling_point_id LIKE '%-9054' THEN 'C' ELSE 'ug.m-3' END AS units
+           FROM obs LEFT JOIN (SELECT * FROM mapping WHERE pos <> 6) m ON CAST(substr(sampling_point_id, 13) AS INTEGER) = m.pollutant_id""",
+        "obs",
+        "mapping",
+    ),
+)
+def series_dimension(spark, sf):
+    code = text.series_code(F.col("sampling_point_id"))
+    unit = F.when(code == 9054, F.lit("C")).otherwise(F.lit("ug.m-3"))
+    capabilities = adapter.obs(spark, sf).select("sampling_point_id").distinct().select(
+        "sampling_point_id",
+        F.concat(F.lit("http://host/pollutant/"), code.cast("string")).alias("pollutant"),
+        F.concat(F.lit("http://host/unit/"), unit).alias("concentration"),
+    )
+    uri = F.concat(F.lit("http://host/pollutant/"), F.col("pollutant_id").cast("string"))
+    vocabulary = adapter.mapping(spark).where("pos <> 6").withColumn("uri", uri)
+    return observations.series_dimension(capabilities, vocabulary)
+
+
 # --- set operations -------------------------------------------------------------------------------
 
 SHORT = "sampling_point_id, from_time, value, verification_flag"
