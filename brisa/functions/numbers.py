@@ -38,32 +38,31 @@ def plain_number(c: Column) -> Column:
     return F.when(c == F.floor(c), F.floor(c).cast("string")).otherwise(c.cast("string"))
 
 
-def _pick(branches: list[tuple[Column, Column]]) -> Column:
-    head, *rest = branches
-    return reduce(lambda case, b: case.when(*b), rest, F.when(*head))
+def _case(branches: list[tuple[str, str]]) -> Column:
+    return F.expr("CASE " + " ".join(f"WHEN {test} THEN {result}" for test, result in branches) + " END")
 
 
-def bin_upper_closed(x: Column, breaks: list[Column]) -> Column:
-    """Class of ``x`` among (b1, b2], (b2, b3] … with the lowest break included; null outside."""
-    low = F.when(x < breaks[0], F.lit(None).cast("int"))
-    return reduce(lambda case, kb: case.when(x <= kb[1], F.lit(kb[0])), enumerate(breaks[1:], 1), low)
+def bin_upper_closed(x: str, breaks: list[str]) -> Column:
+    """Class of ``x`` among (b1, b2], (b2, b3] … with the lowest break included; null outside.
 
+    ``x`` and ``breaks`` are SQL expressions, here and below.
+    """
+    below = [(f"{x} < {breaks[0]}", "CAST(NULL AS INT)")]
+    return _case(below + [(f"{x} <= {high}", str(k)) for k, high in enumerate(breaks[1:], 1)])
 
-def bin_lower_closed(x: Column, breaks: list[Column]) -> Column:
+
+def bin_lower_closed(x: str, breaks: list[str]) -> Column:
     """Class of ``x`` among [b1, b2), [b2, b3) … with the highest break included; null outside."""
     last = len(breaks) - 1
-    case = F.when(x < breaks[0], F.lit(None).cast("int"))
-    for k in range(1, last):
-        case = case.when(x < breaks[k], F.lit(k))
-    return case.when(x <= breaks[last], F.lit(last))
+    below = [(f"{x} < {breaks[0]}", "CAST(NULL AS INT)")]
+    inner = [(f"{x} < {breaks[k]}", str(k)) for k in range(1, last)]
+    return _case(below + inner + [(f"{x} <= {breaks[last]}", str(last))])
 
 
-def decimal_class(x: Column, breaks: list[Column]) -> Column:
+def decimal_class(x: str, breaks: list[str]) -> Column:
     """Class of ``x`` plus the covered share of its interval; null outside the breaks."""
-    return _pick(
-        [(x < breaks[0], F.lit(None).cast("double"))]
-        + [
-            (x <= high, F.lit(float(k)) + F.try_divide(x - low, high - low))
-            for k, (low, high) in enumerate(zip(breaks, breaks[1:]), 1)
-        ]
+    below = [(f"{x} < {breaks[0]}", "CAST(NULL AS DOUBLE)")]
+    steps = enumerate(zip(breaks, breaks[1:]), 1)
+    return _case(
+        below + [(f"{x} <= {high}", f"{k}D + try_divide({x} - {low}, {high} - {low})") for k, (low, high) in steps]
     )

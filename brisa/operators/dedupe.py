@@ -21,11 +21,8 @@ SERIES_HOUR = ("sampling_point_id", "from_time")
 
 def _best_row(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
-    )
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return best.selectExpr(*[f"`{c}`" if c in keys else f"_row.`{c}` AS `{c}`" for c in df.columns])
 
 
 def latest_wins(df: DataFrame, keys: Sequence[str] = SERIES_HOUR, by: str = "touched") -> DataFrame:

@@ -19,19 +19,11 @@ def _named(breaks: DataFrame) -> DataFrame:
     return breaks.replace(BREAK_ALIASES, subset=["pol"])
 
 
-def _with_breaks(df: DataFrame, breaks: DataFrame, letters: str, key: str, dim_key: str) -> DataFrame:
-    dim = breaks.select(F.col(dim_key).alias(key), *[F.col(x).alias(f"_{x}") for x in letters])
-    return df.join(sized(dim), key, "left")
-
-
-def _columns(letters: str) -> list:
-    return [F.col(f"_{x}") for x in letters]
-
-
 def _index_long(df, breaks, value, out, rule, letters, key="pollutant", dim_key="pol") -> DataFrame:
-    columns = [c for c in df.columns if c != out]
-    found = _with_breaks(df.select(*columns), breaks, letters, key, dim_key)
-    return found.select(*columns, rule(F.col(value), _columns(letters)).alias(out))
+    columns = [f"`{c}`" for c in df.columns if c != out]
+    dim = breaks.selectExpr(f"{dim_key} AS {key}", *[f"{x} AS _{x}" for x in letters])
+    found = df.select(*columns).join(sized(dim), key, "left")
+    return found.select(*columns, rule(f"`{value}`", [f"_{x}" for x in letters]).alias(out))
 
 
 def aqi_decimal(df: DataFrame, breaks: DataFrame, value: str = "value", out: str = "index") -> DataFrame:
@@ -65,13 +57,13 @@ def aqi_class_wide(
     out = {}
     for p in pollutants:
         limits = dim.where(F.col("pol") == p).agg(F.first(F.array(*"abcdefg")))
-        out[f"index_{p}"] = (F.col(f"`{p}{suffix}`"), limits)
+        out[f"index_{p}"] = (f"`{p}{suffix}`", limits)
     with_limits = df.withColumns({f"_{name}": limits.scalar() for name, (_, limits) in out.items()})
     columns = [f"`{c}`" for c in (df.columns if keep_all else keys)]
     return with_limits.select(
         *columns,
         *[
-            rule(x, [F.col(f"`_{name}`")[i] for i in range(7)]).alias(name)
+            rule(x, [f"`_{name}`[{i}]" for i in range(7)]).alias(name)
             for name, (x, _) in out.items()
         ],
     )
@@ -97,15 +89,11 @@ def index_bands(
     Everything from ``last`` on is in the last band (earlier scales end at 5).  A missing index has
     no band and the colour of the table's row 0.
     """
-    index = F.col(f"`{col}`")
-    number = (
-        F.when(index.isNull(), F.lit(0))
-        .when(index >= last, F.lit(last))
-        .when(index >= 1, F.floor(index).cast("int"))
+    number = F.expr(
+        f"CASE WHEN `{col}` IS NULL THEN 0 WHEN `{col}` >= {last} THEN {last} "
+        f"WHEN `{col}` >= 1 THEN CAST(floor(`{col}`) AS INT) END"
     )
-    texts = [
-        F.when(F.col("index") > 0, F.col(f"web_band_{lang}")).alias(f"{col}_band_{lang}") for lang in langs
-    ]
-    color = [F.col("web_color").alias(f"{col}_color")] if colors else []
-    dim = bands.select(F.col("index").cast("int").alias("_band"), *texts, *color)
+    texts = [f"CASE WHEN index > 0 THEN web_band_{lang} END AS `{col}_band_{lang}`" for lang in langs]
+    color = [f"web_color AS `{col}_color`"] if colors else []
+    dim = bands.selectExpr("CAST(index AS INT) AS _band", *texts, *color)
     return df.withColumn("_band", number).join(sized(dim), "_band", "left").drop("_band")

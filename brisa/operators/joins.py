@@ -1,11 +1,10 @@
 """Lookups and joins.
 
-Spark broadcasts a side by itself when the size it knows (file sizes, literal rows, or the measured
-size of a finished stage) is under ``spark.sql.autoBroadcastJoinThreshold``.  Dimension tables whose
-size it cannot know are counted first, see :func:`sized`; no other side is ever broadcast by a hint.
-Beyond those bounds both sides are shuffled and adaptive execution splits the partitions of hot keys.
-It can do so only where both sides are read straight from their shuffles; null-safe keys give an
-aggregated side a shuffle of its own and so keep a join to it splittable.
+Only :func:`sized` and :func:`lookup` broadcast a side, and only one that :func:`fits` has checked;
+elsewhere Spark decides from the sizes it knows or measures.  Beyond those bounds both sides are
+shuffled and adaptive execution splits the partitions of hot keys.  It can do so only where both sides
+are read straight from their shuffles; null-safe keys give an aggregated side a shuffle of its own and
+so keep a join to it splittable.
 """
 
 from __future__ import annotations
@@ -26,20 +25,21 @@ def known_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def sized(side: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """``side``, marked for broadcast if Spark does not know its size and it has few rows.
+def fits(dim: DataFrame) -> bool:
+    """Whether a table is small enough to broadcast, by Spark's broadcast threshold.
 
-    ``dim`` is the table that ``side`` is made from without adding rows, when that is cheaper to
-    count.  At most one row more than the bound is counted; a larger side goes to a shuffled join.
+    If Spark does not know the size, rows are counted, at most one more than the bound.
     """
-    dim = side if dim is None else dim
     threshold = dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if threshold.startswith("-"):
-        return side
+        return False
     limit = dim.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
-    if known_bytes(dim) <= int(limit):
-        return side
-    return F.broadcast(side) if dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS else side
+    return known_bytes(dim) <= int(limit) or dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS
+
+
+def sized(side: DataFrame) -> DataFrame:
+    """``side``, marked for broadcast if a check says that it is small."""
+    return F.broadcast(side) if fits(side) else side
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -84,13 +84,17 @@ def lookup(
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
     position = [order] if isinstance(order, str) else list(order or [])
+    known = dim.where(F.col(dim_key).isNotNull())
+    small = fits(dim)
+    # A checked small table is reduced to first rows in one task, without a shuffle of its own.
     first = (
-        dim.where(F.col(dim_key).isNotNull())
+        (known.coalesce(1) if small else known)
         .groupBy(F.col(dim_key).alias("_key"))
         .agg(F.min_by(F.struct(*cols), F.struct(*position, *cols)).alias("_row"))
     )
-    return df.join(sized(first, dim), F.col(left_key).eqNullSafe(F.col("_key")), "left").select(
-        *[F.col(c) for c in df.columns], *[F.col("_row").getField(c).alias(c) for c in cols]
+    side = F.broadcast(first) if small else first
+    return df.join(side, F.col(left_key).eqNullSafe(F.col("_key")), "left").selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"_row.`{c}` AS `{c}`" for c in cols]
     )
 
 

@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.functions.numbers import round_half_even
 from brisa.session import write_out
 
 # Averaging hours per pollutant, and the share of them that must be present.
@@ -61,12 +60,9 @@ def running_means(
     Everything takes the same single shuffle: each averaging width is one frame over the partitioning,
     and only averaged pollutants hand hours over to the next chunk.
     """
-    width = F.lit(1)
-    for name, h in hours.items():
-        width = F.when(F.col(pollutant) == name, F.lit(h)).otherwise(width)
-    averaged = F.coalesce(F.col(pollutant).isin(*hours), F.lit(False))
+    cases = " ".join(f"WHEN '{name}' THEN {h}" for name, h in hours.items())
     means = _running_mean(
-        df.withColumn("_width", F.when(averaged, width).otherwise(F.lit(1))),
+        df.withColumn("_width", F.expr(f"CASE `{pollutant}` {cases} ELSE 1 END")),
         sorted(set(hours.values())),
         [*keys, pollutant],
         date,
@@ -74,7 +70,7 @@ def running_means(
         value,
         capture,
         chunk_hours,
-        F.col("_width"),
+        "_width",
     )
     return means.drop("_width")
 
@@ -84,30 +80,43 @@ def _running_mean(df, widths, keys, date, value, out, capture, chunk_hours, widt
     if chunk_hours < max(widths):
         raise ValueError("a chunk must be at least as long as the averaging time")
     columns = df.columns if out in df.columns else [*df.columns, out]
-    width = F.lit(widths[0]) if width is None else width
-    seconds = F.unix_seconds(F.col(date))
-    chunk = _chunk(seconds, chunk_hours)
-    reaches_next = _chunk(seconds + (width - F.lit(1)) * HOUR, chunk_hours) > chunk
-    copies = F.when(reaches_next, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    # Whole millionths add up exactly, so a mean on a half rounds the same in every run.
-    millionths = (F.col(value).cast("decimal(18,6)") * 1_000_000).cast("bigint")
-    rows = df.withColumns(
-        {"_s": seconds, "_own": chunk, "_v": F.when(width.isin(widths), millionths)}
-    ).withColumn("_chunk", F.explode(copies))
+    width = width or str(widths[0])
+    chunk = f"CAST(floor(({{}}) / {chunk_hours * HOUR}D) AS BIGINT)"
+    listed = ", ".join(str(w) for w in widths)
+    rows = (
+        df.withColumns(
+            {
+                "_s": F.expr(f"unix_seconds(`{date}`)"),
+                # Whole millionths add up exactly, so a mean on a half rounds the same in every run.
+                "_v": F.expr(
+                    f"CASE WHEN {width} IN ({listed}) "
+                    f"THEN CAST(CAST(`{value}` AS DECIMAL(18,6)) * 1000000 AS BIGINT) END"
+                ),
+            }
+        )
+        .withColumns(
+            {
+                "_own": F.expr(chunk.format("_s")),
+                "_reach": F.expr(chunk.format(f"_s + ({width} - 1) * {HOUR}")),
+            }
+        )
+        .withColumn("_chunk", F.expr("explode(CASE WHEN _reach > _own THEN array(_own, _own + 1) ELSE array(_own) END)"))
+    )
     series = Window.partitionBy(*keys, "_chunk").orderBy("_s")
-
-    result = F.col(value)
-    for hours in widths:
-        frame = series.rangeBetween(-(hours - 1) * HOUR, 0)
-        count = F.count("_v").over(frame)
-        mean = F.sum("_v").over(frame).cast("double") / (count * 1_000_000)
-        enough = F.when(count >= math.ceil(capture * hours), round_half_even(mean))
-        result = F.when(width == hours, enough).otherwise(result)
+    frames = {w: series.rangeBetween(-(w - 1) * HOUR, 0) for w in widths}
+    summed = rows.withColumns(
+        {f"_n{w}": F.count("_v").over(frame) for w, frame in frames.items()}
+        | {f"_t{w}": F.sum("_v").over(frame) for w, frame in frames.items()}
+    )
+    means = " ".join(
+        f"WHEN {w} THEN CASE WHEN _n{w} >= {math.ceil(capture * w)} "
+        f"THEN bround(CAST(_t{w} AS DOUBLE) / (_n{w} * 1000000)) END"
+        for w in widths
+    )
     return (
-        rows.withColumn("_mean", result)
-        .where("_chunk = _own")
-        .withColumn(out, F.col("_mean"))
-        .select(*[F.col(f"`{c}`") for c in columns])
+        summed.where("_chunk = _own")
+        .withColumn(out, F.expr(f"CASE {width} {means} ELSE `{value}` END"))
+        .select(*[f"`{c}`" for c in columns])
     )
 
 

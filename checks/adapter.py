@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.functions import text, timeutil
-from brisa.functions.numbers import sentinel_to_null
+from brisa.functions import text
+from brisa.sources.readers import clean_sentinels
 
 # --- dimension tables (invented numbers) ----------------------------------------------------------
 
@@ -59,9 +59,8 @@ def _frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     fields = [field.split() for field in schema.split(", ")]
     body = ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
     names = ", ".join(f"`{name}`" for name, _ in fields)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t({names})").select(
-        *[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in fields]
-    )
+    casts = ", ".join(f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({names})")
 
 
 def breaks(spark: SparkSession) -> DataFrame:
@@ -106,122 +105,109 @@ def episode_thresholds(spark: SparkSession) -> DataFrame:
 # --- views of the test tables ---------------------------------------------------------------------
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def _hour():
-    return F.date_trunc("hour", F.col("ts").cast("timestamp"))
-
-
-CODES = {"view": 8, "click": 7, "purchase": 5, "signup": 6001}
-
-
-def _code():
-    case = F
-    for kind, code in CODES.items():
-        case = case.when(F.col("event_type") == kind, F.lit(code))
-    return case.otherwise(F.lit(9054))
+# Schemas of the tables read, so that no job is spent on finding them out.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 
 
-def _value():
-    k = F.col("event_id") % 20
-    return (
-        F.when(k == 0, F.lit(None))
-        .when(k == 1, F.lit(-999.0))
-        .when(k == 2, -F.col("value"))
-        .otherwise(F.col("value"))
-    )
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _etat():
-    k = F.col("event_id") % 3
-    return F.when(k == 0, F.lit("A")).when(k == 1, F.lit("R")).otherwise(F.lit("I"))
+HOUR = "date_trunc('hour', CAST(ts AS timestamp))"
+ETAT = "CASE event_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'R' ELSE 'I' END"
+CODE = "CASE event_type WHEN 'view' THEN 8 WHEN 'click' THEN 7 WHEN 'purchase' THEN 5 WHEN 'signup' THEN 6001 ELSE 9054 END"
+VALUE = "CASE event_id % 20 WHEN 0 THEN NULL WHEN 1 THEN -999D WHEN 2 THEN -value ELSE value END"
+FLAG = "CASE WHEN event_id % 50 = 7 THEN NULL WHEN event_id % 10 = 0 THEN 1 ELSE 3 END"
+POSITION = "date_format(from_utc_timestamp({}, '+01:00'), \"yyyy-MM-dd'T'HH:mm:ss'+01:00'\")"
 
 
 def observations(events: DataFrame) -> DataFrame:
     """Events as stored observations; every event is one delivery of a series' hour."""
-    flag = F.when(F.col("event_id") % 50 == 7, F.lit(None)).when(F.col("event_id") % 10 == 0, F.lit(1)).otherwise(F.lit(3))
-    series = text.make_series_id(F.concat(F.lit("94"), (F.col("user_id") % 2).cast("string")), _code())
-    begin, end = _hour(), timeutil.add_hours(_hour(), 1)
-    return events.select(
-        series.alias("sampling_point_id"),
-        timeutil.format_position(begin).alias("begin_position"),
-        timeutil.format_position(end).alias("end_position"),
-        _value().alias("value"),
-        flag.cast("int").alias("verification_flag"),
-        text.validity_of(_etat()).cast("int").alias("validation_flag"),
-        (begin + F.make_dt_interval(hours=(1 + F.col("event_id") % 4).cast("int"))).alias("touched"),
-        begin.alias("from_time"),
-        end.alias("to_time"),
-        _value().alias("import_value"),
-        F.col("event_id").alias("seq"),
+    return events.selectExpr(
+        f"concat('SPO-AD0', '94', user_id % 2, 'A-', {CODE}) AS sampling_point_id",
+        POSITION.format(HOUR) + " AS begin_position",
+        POSITION.format(f"{HOUR} + INTERVAL 1 HOUR") + " AS end_position",
+        f"{VALUE} AS value",
+        f"{FLAG} AS verification_flag",
+        f"CASE WHEN {ETAT} IN ('A', 'R') THEN 1 ELSE -1 END AS validation_flag",
+        f"{HOUR} + make_dt_interval(0, CAST(1 + event_id % 4 AS int)) AS touched",
+        f"{HOUR} AS from_time",
+        f"{HOUR} + INTERVAL 1 HOUR AS to_time",
+        f"{VALUE} AS import_value",
+        "event_id AS seq",
     )
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations with missing values as nulls."""
-    raw = observations(read(spark, sf_dir, "events"))
-    return raw.withColumns({c: sentinel_to_null(F.col(c)) for c in ("value", "import_value")})
+    return clean_sentinels(observations(read(spark, sf_dir, "events")))
 
 
 def drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as delivered text rows."""
-    value = F.replace(F.format_string("%.2f", F.col("value")), F.lit("."), F.lit(","))
-    return read(spark, sf_dir, "events").select(
-        F.lit("ORG").alias("Organisme"),
-        F.concat(F.lit("94"), (F.col("user_id") % 2).cast("string")).alias("Station"),
-        F.col("event_type").alias("Mesure"),
-        F.when(F.col("event_id") % 7 != 3, F.col("event_type")).otherwise(F.lit("unknown")).alias("Constituant"),
-        F.lit("ug/m3").alias("Unite"),
-        F.date_format(F.from_utc_timestamp(_hour(), timeutil.OFFSET), timeutil.DELIVERY_FORMAT).alias("Date"),
-        F.when(F.col("event_id") % 20 != 0, value).otherwise(F.lit("n/d")).alias("Valeur"),
-        _etat().alias("Etat"),
-        F.col("event_id").alias("seq"),
+    return read(spark, sf_dir, "events").selectExpr(
+        "'ORG' AS Organisme",
+        "concat('94', user_id % 2) AS Station",
+        "event_type AS Mesure",
+        "CASE WHEN event_id % 7 <> 3 THEN event_type ELSE 'unknown' END AS Constituant",
+        "'ug/m3' AS Unite",
+        f"date_format(from_utc_timestamp({HOUR}, '+01:00'), 'dd/MM/yyyy HH:mm') AS Date",
+        "CASE WHEN event_id % 20 <> 0 THEN replace(format_string('%.2f', value), '.', ',') ELSE 'n/d' END AS Valeur",
+        f"{ETAT} AS Etat",
+        "event_id AS seq",
     )
 
 
 def pollen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as pollen rows."""
-    day = F.date_format(F.col("ts").cast("timestamp"), timeutil.DAY_FORMAT)
-    return read(spark, sf_dir, "events").select(
-        F.when(F.col("event_id") % 9 == 0, F.concat("event_type", F.lit("   "))).otherwise(F.col("event_type")).alias("pid"),
-        day.alias("start_date"),
-        day.alias("end_date"),
-        F.floor("value").cast("double").alias("measurement"),
-        (F.col("event_id") % 6).cast("int").alias("ratid"),
-        F.col("event_id").alias("seq"),
+    day = "date_format(CAST(ts AS timestamp), 'dd/MM/yyyy')"
+    return read(spark, sf_dir, "events").selectExpr(
+        "CASE WHEN event_id % 9 = 0 THEN concat(event_type, '   ') ELSE event_type END AS pid",
+        f"{day} AS start_date",
+        f"{day} AS end_date",
+        "CAST(floor(value) AS double) AS measurement",
+        "CAST(event_id % 6 AS int) AS ratid",
+        "event_id AS seq",
     )
 
 
 def runlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per event type and hour of the observed time; a run without events found no file."""
-    events = read(spark, sf_dir, "events").select("event_type", _hour().alias("hour"), "value")
-    counts = events.groupBy("event_type", "hour").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("value").alias("top")
-    )
-    extent = counts.groupBy("event_type").agg(F.min("hour").alias("a"), F.max("hour").alias("b"))
-    grid = extent.select("event_type", F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    return grid.join(counts, ["event_type", "hour"], "left").select(
-        F.col("event_type").alias("feed"),
-        F.col("hour").alias("time_begin"),
-        F.col("rows").isNotNull().alias("file_found"),
-        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.col("top") > 200, F.lit(False)).alias("error_script"),
+    events = read(spark, sf_dir, "events").selectExpr("event_type", f"{HOUR} AS hour", "value")
+    counts = events.groupBy("event_type", "hour").agg(F.expr("count(1) AS rows"), F.expr("max(value) AS top"))
+    extent = counts.groupBy("event_type").agg(F.expr("min(hour) AS a"), F.expr("max(hour) AS b"))
+    grid = extent.selectExpr("event_type", "explode(sequence(a, b, INTERVAL 1 HOUR)) AS hour")
+    return grid.join(counts, ["event_type", "hour"], "left").selectExpr(
+        "event_type AS feed",
+        "hour AS time_begin",
+        "rows IS NOT NULL AS file_found",
+        "coalesce(rows, 0L) AS rows",
+        "coalesce(top > 200, false) AS error_script",
     )
 
 
 def bench_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as observations: one series per supplier, one hour per day, newest order wins."""
-    return read(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("sampling_point_id"),
-        F.col("l_shipdate").cast("timestamp").alias("from_time"),
-        F.col("l_shipdate").cast("timestamp").alias("to_time"),
-        F.col("l_quantity").alias("value"),
-        F.col("l_linenumber").alias("verification_flag"),
-        F.col("l_orderkey").alias("touched"),
-        (F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("seq"),
-        F.col("l_returnflag").alias("kind"),
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "concat('S', l_suppkey) AS sampling_point_id",
+        "CAST(l_shipdate AS timestamp) AS from_time",
+        "CAST(l_shipdate AS timestamp) AS to_time",
+        "l_quantity AS value",
+        "l_linenumber AS verification_flag",
+        "l_orderkey AS touched",
+        "l_partkey * 8 + l_linenumber AS seq",
+        "l_returnflag AS kind",
     )
 
 

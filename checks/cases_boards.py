@@ -880,7 +880,7 @@ def scalar_text_num(spark, sf):
     size = F.col("p_size")
     as_double = size.cast("double")
     stored = F.when(size == 7, F.lit(-999.0)).otherwise(as_double)
-    limits = [F.lit(float(b)) for b in (1, 10, 20, 40)]
+    limits = ["1D", "10D", "20D", "40D"]
     lang = F.when(size % 3 == 0, F.lit("CAT")).when(size % 3 == 1, F.lit("EN")).otherwise(F.lit("FR"))
     letter = F.when(size % 4 == 0, F.lit("A")).when(size % 4 == 1, F.lit("R")).otherwise(F.lit("I"))
     return adapter.read(spark, sf, "part").select(
@@ -898,8 +898,8 @@ def scalar_text_num(spark, sf):
         numbers.sentinel_to_null(stored).alias("no_sentinel"),
         numbers.null_to_sentinel(numbers.sentinel_to_null(stored)).alias("with_sentinel"),
         F.coalesce(F.when(size % 5 > 0, size.cast("string")), F.lit("-")).alias("shown"),
-        numbers.bin_upper_closed(as_double, limits).alias("upper_closed"),
-        numbers.bin_lower_closed(as_double, limits).alias("lower_closed"),
+        numbers.bin_upper_closed("CAST(p_size AS DOUBLE)", limits).alias("upper_closed"),
+        numbers.bin_lower_closed("CAST(p_size AS DOUBLE)", limits).alias("lower_closed"),
         size.cast("string").alias("as_text"),
         text.locale_of(lang).alias("locale"),
         text.validity_of(letter).alias("validity"),

@@ -20,8 +20,7 @@ def _folder(spark, name: str) -> str:
 
 
 def _events(spark, sf):
-    schema = adapter.read(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(adapter.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def _obs_stream(spark, sf):
