@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.functions.timeutil import day_of, format_position
-from brisa.operators.joins import sized
+from brisa.functions.timeutil import day_of
+from brisa.operators.joins import sized, stack
 
 # Fixed value: pollutant order of the calendar, also used to break ties between equal indices.
 POLLUTANT_ORDER = ("SO2", "CO", "NO2", "O3", "PM10", "PM2.5")
@@ -66,15 +66,17 @@ def country_now(board: DataFrame, station: str = "station_id") -> DataFrame:
 
 
 def series_extent(obs: DataFrame, key: str = "sampling_point_id", begin: str = "from_time") -> DataFrame:
-    """First and last begin per series, as ISO text.
+    """First and last begin per series (``first_time``, ``last_time``).
 
-    Extremes are taken of the instants, which hash aggregation holds in place, and written as text
-    afterwards.  Repeated deliveries do not change them, so ``obs`` need not be de-duplicated.
+    Repeated deliveries do not change them, so ``obs`` need not be de-duplicated.
     """
-    return (
-        obs.groupBy(key)
-        .agg(F.min(begin).alias("_from"), F.max(begin).alias("_to"))
-        .select(key, format_position("_from").alias("fromtime"), format_position("_to").alias("totime"))
+    return obs.groupBy(key).agg(F.min(begin).alias("first_time"), F.max(begin).alias("last_time"))
+
+
+def merge_extents(*extents: DataFrame, key: str = "sampling_point_id") -> DataFrame:
+    """One extent per series that covers all the given ones."""
+    return stack(*extents).groupBy(key).agg(
+        F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")
     )
 
 

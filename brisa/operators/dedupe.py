@@ -46,20 +46,12 @@ def prefer_value(
     newest: str = "touched",
     seq: str | None = None,
 ) -> DataFrame:
-    """One row per key: a row with a value if there is one, then the newest, then the first delivered."""
-    return _best_row(df, keys, F.struct(F.col(value).isNotNull(), *_tail(newest, seq, value)))
+    """One row per key: a row with a value if there is one, then the newest, then the first delivered.
 
-
-def delivery_order(
-    newest: str = "touched", flag: str = "verification_flag", value: str = "value", seq: str | None = None
-) -> Column:
-    """What decides between deliveries of one hour: newest, best verified, with a value, first."""
-    return F.struct(
-        F.col(newest),
-        -F.coalesce(F.col(flag), F.lit(2147483647)),
-        F.col(value).isNotNull(),
-        *_tail(None, seq, value),
-    )
+    ``seq`` is the order of delivery.  Without it the remaining columns decide, here and below, so
+    that the choice never depends on the order in which rows happen to be read.
+    """
+    return _best_row(df, keys, F.struct(has_value(value), F.col(newest), *_last(df, keys, seq)))
 
 
 def clean_observations(
@@ -75,7 +67,8 @@ def clean_observations(
     Each step keeps the best rows among the survivors of the one before, which is the same as
     taking the maximum of the three criteria in that order.
     """
-    return _best_row(df, keys, delivery_order(newest, flag, value, seq))
+    order = F.struct(F.col(newest), verified(flag), has_value(value), *_last(df, keys, seq))
+    return _best_row(df, keys, order)
 
 
 def best_observations(
@@ -91,16 +84,21 @@ def best_observations(
     For rows of different origin, such as stored and delivered ones: a validated value outranks a
     newer raw one.
     """
-    order = F.struct(
-        -F.coalesce(F.col(flag), F.lit(2147483647)), F.col(value).isNotNull(), *_tail(newest, seq, value)
-    )
+    order = F.struct(verified(flag), has_value(value), F.col(newest), *_last(df, keys, seq))
     return _best_row(df, keys, order)
 
 
-def _tail(newest: str | None, seq: str | None, value: str) -> list[Column]:
-    """Last criteria, so that the choice never depends on row order."""
-    first = [-F.col(seq)] if seq else [F.col(value)]
-    return ([F.col(newest)] if newest else []) + first
+def verified(flag: str) -> Column:
+    """Rank of a verification flag: the lower the flag the better, a missing one last."""
+    return F.expr(f"-coalesce(`{flag}`, 2147483647)")
+
+
+def has_value(value: str) -> Column:
+    return F.expr(f"`{value}` IS NOT NULL")
+
+
+def _last(df: DataFrame, keys: Sequence[str], seq: str | None) -> list[Column]:
+    return [F.expr(f"-`{seq}`")] if seq else [F.col(f"`{c}`") for c in df.columns if c not in keys]
 
 
 def keep_newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -48,6 +48,23 @@ def last_days(df: DataFrame, as_of: Column, days: int = 30, date: str = "to_time
     return df.where(F.col(date) >= start)
 
 
+# Spans, in days before the present, that are searched for the newest rows before the whole table is.
+NEWEST_DAYS = (2, 30)
+
+
+def newest_part(df: DataFrame, as_of: Column, date: str = "to_time") -> DataFrame:
+    """The rows of the shortest of a few spans up to the present that has any, else all rows.
+
+    The latest rows are always among them, so "latest" questions have the same answer on this part,
+    which on a table partitioned by day is a handful of its partitions.
+    """
+    for days in NEWEST_DAYS:
+        part = last_days(df, as_of, days, date)
+        if not part.isEmpty():
+            return part
+    return df
+
+
 # Calendar days that a list of days may have before it is joined instead of written into the filter.
 LISTED_DAYS = 10_000
 

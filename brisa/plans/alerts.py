@@ -15,6 +15,7 @@ TEXTS = {
     "no_data": "No data has been received at {time}.",
     "restablished": "Data is being received again at {time}.",
     "fail": "Processing the data received at {time} failed.",
+    "no_update": "Data was received at {time}, but the published tables did not change.",
     "alive": "The pipeline is running at {time}.",
     "pollen": "The pollen file was processed at {time}.",
 }
@@ -39,7 +40,7 @@ def ingest_alerts(
         "no_data": ~F.col("file_found"),
         "restablished": F.col("file_found") & ~F.col("previous_found"),
         "fail": F.col("error_script"),
-        "alive": sign_of_life,
+    "alive": sign_of_life,
     }
     kinds = F.filter(
         F.array(*[F.when(F.coalesce(test, F.lit(False)), F.lit(kind)) for kind, test in cases.items()]),

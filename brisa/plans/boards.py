@@ -19,6 +19,7 @@ from brisa.operators.joins import complete_pairs, lookup, sized
 from brisa.operators.reshape import (
     constant_rows,
     matching_columns,
+    split_series,
     to_lang_rows,
     unpivot_values,
     without_lang,
@@ -128,22 +129,20 @@ def stations_lang(dim: DataFrame) -> DataFrame:
     return to_lang_rows(station_rows(dim), ["station_id"], families)
 
 
-def series_catalogue(published: DataFrame, mapping: DataFrame, stations: DataFrame) -> DataFrame:
-    """Every pollutant series with a label and its first and last hour."""
-    extent = aggregates.series_extent(pollutants(published))
-    parts = extent.withColumns(
-        {
-            "station": text.series_station(F.col("sampling_point_id")),
-            "code": text.series_code(F.col("sampling_point_id")),
-        }
-    )
+def series_catalogue(extents: DataFrame, mapping: DataFrame, stations: DataFrame) -> DataFrame:
+    """Every pollutant series with a label and its first and last hour as ISO text.
+
+    Extremes are taken of instants (``aggregates.series_extent``), which hash aggregation holds in
+    place, and written as text here.
+    """
+    parts = split_series(pollutants(extents))
     labelled = lookup(parts, mapping, ("code", "pollutant_id"), ["notation"])
     labelled = lookup(labelled, station_rows(stations), ("station", "station_id"), ["web_name_noaccents"])
     return labelled.select(
         F.col("sampling_point_id").alias("timeserieid"),
         F.concat_ws(", ", "web_name_noaccents", "notation").alias("label"),
-        "fromtime",
-        "totime",
+        timeutil.format_position("first_time").alias("fromtime"),
+        timeutil.format_position("last_time").alias("totime"),
     )
 
 
@@ -288,15 +287,17 @@ def daily_bands(daily_table: DataFrame, bands: DataFrame, lang: str = "EN") -> D
 # --- inversion, staleness and utilities ----------------------------------------------------------
 
 
-def temperature_inversion(
-    readings: DataFrame, low: str, high: str, code: int = 9054
-) -> DataFrame:
+def inversion_readings(readings: DataFrame, low: str, high: str, code: int = 9054) -> DataFrame:
+    """Readings of the two sites: cleaned (station, code, date, value) rows."""
+    return readings.where((F.col("code") == code) & F.col("station").isin(low, high))
+
+
+def temperature_inversion(readings: DataFrame, low: str, high: str, code: int = 9054) -> DataFrame:
     """Whether the lower site is colder than the higher one at the latest hour; one row.
 
-    ``readings`` are cleaned (station, code, date, value) rows.  A missing value on either side, or
-    none at all, counts as no inversion.
+    A missing value on either side, or none at all, counts as no inversion.
     """
-    both = readings.where((F.col("code") == code) & F.col("station").isin(low, high))
+    both = inversion_readings(readings, low, high, code)
     at = [F.max(F.when(F.col("station") == s, F.col("value"))) for s in (low, high)]
     latest = at_latest(both).agg(
         F.max("date").alias("date"), at[0].alias("value_low"), at[1].alias("value_high")

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from brisa import schemas
 from brisa.functions import text, timeutil
-from brisa.operators.dedupe import (
-    best_observations,
-    best_verified,
-    clean_observations,
-    prefer_value,
+from brisa.operators.dedupe import best_observations, clean_observations, prefer_value
+from brisa.operators.filters import (
+    drop_future,
+    last_days,
+    meteo,
+    newest_part,
+    plausible,
+    pollutants,
+    since,
 )
-from brisa.operators.filters import drop_future, last_days, meteo, plausible, pollutants, since
 from brisa.operators.indices import aqi_decimal
 from brisa.operators.joins import lookup, merge_rows, new_rows, stack
 from brisa.operators.reshape import split_series
@@ -112,20 +115,26 @@ def pollutant_indices(clean: DataFrame, mapping: DataFrame, breaks: DataFrame) -
     return aqi_decimal(concentrations(clean, mapping), breaks)
 
 
-def current_indices(clean: DataFrame, mapping: DataFrame, breaks: DataFrame) -> DataFrame:
+def current_indices(
+    clean: DataFrame, mapping: DataFrame, breaks: DataFrame, as_of: Column | None = None
+) -> DataFrame:
     """:func:`pollutant_indices` at the latest hour only.
 
     Running means reach back no further than the longest averaging time, so just those hours are read.
+    With the present time, the latest hour is looked for in the newest days first.
     """
     base = plausible(pollutants(clean))
-    latest = base.select(F.max("from_time")).scalar()
+    newest = base if as_of is None else newest_part(base, as_of)
+    latest = newest.select(F.max("from_time")).scalar()
     hours = max(AVERAGING_HOURS.values()) - 1
     index = pollutant_indices(since(base, timeutil.add_hours(latest, -hours)), mapping, breaks)
     return index.where(F.col("date") == timeutil.add_hours(latest, 1))
 
 
 def temperatures(clean: DataFrame) -> DataFrame:
-    return split_series(meteo(clean)).select("station", "code", F.col("to_time").alias("date"), "value")
+    """(station, code, date, value) of the meteorological series, and the partition day if there is one."""
+    day = ["day"] if "day" in clean.columns else []
+    return split_series(meteo(clean)).select("station", "code", F.col("to_time").alias("date"), "value", *day)
 
 
 def recent_observations(obs: DataFrame, as_of: Column, days: int = 30, seq: str | None = None) -> DataFrame:
@@ -145,13 +154,11 @@ def reconcile(
 ) -> DataFrame:
     """Stored observations plus the rows of known series not stored yet, as the next stored table.
 
-    Duplicated hours keep their best verified rows; rows are numbered by series and time.
+    A duplicated hour keeps its best verified row; rows are numbered by series and time.
     """
     columns = [f.name for f in schemas.OBSERVATIONS.fields]
     known = load_series(incoming, series)
     merged = stack(stored.select(*columns), new_rows(known.select(*columns), stored, keys))
-    best = best_verified(merged).distinct()
-    first = ["sampling_point_id", "from_time"]
-    ordered = assign_ids(best, [*first, *[c for c in columns if c not in first]], prefix=None)
+    ordered = assign_ids(best_observations(merged), ["sampling_point_id", "to_time"], prefix=None)
     flags = {"verification_flag": "int", "validation_flag": "int"}
     return typed(typed(with_sentinels(ordered)), flags)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions import timeutil
-from brisa.operators.filters import on_days, plausible, pollutants
+from brisa.operators import aggregates
+from brisa.operators.filters import newest_part, on_days, plausible, pollutants
 from brisa.operators.reshape import expected_pairs
 from brisa.plans import boards, observations
 from brisa.schemas import OBSERVATIONS
@@ -68,26 +69,36 @@ def refresh_daily(index: DataFrame, days: DataFrame, path: str) -> None:
     save_days(on_days(boards.daily_wide(rows), _around(days, 0, 2)), path, "station")
 
 
-def site_tables(clean: DataFrame, daily: DataFrame, dims: Dimensions, as_of: Column) -> dict[str, DataFrame]:
-    """Name -> table, from stored observations, the stored daily worst and the present time.
+def refresh_extents(clean: DataFrame, days: DataFrame, path: str) -> None:
+    """Widen the stored first and last hours of the series by those of the given days."""
+    extents = aggregates.series_extent(on_days(clean, days))
+    known = read_history(clean.sparkSession, path, extents.schema)
+    publish(write_out(aggregates.merge_extents(known, extents), "extents"), path)
+
+
+def site_tables(
+    clean: DataFrame, daily: DataFrame, extents: DataFrame, dims: Dimensions, as_of: Column
+) -> dict[str, DataFrame]:
+    """Name -> table, from stored observations, their stored summaries and the present time.
 
     The latest boards read the last hours of the observations and the graph their last days.
     """
-    current = write_out(observations.current_indices(clean, dims.mapping, dims.breaks), "current")
+    current = write_out(observations.current_indices(clean, dims.mapping, dims.breaks, as_of), "current")
     pairs = expected_pairs(dims.pollutants_stations)
     latest = boards.latest_board(current, dims.mapping, pairs, dims.bands)
     on_map = boards.map_board(current, dims.stations, dims.bands)
     by_pollutant = boards.calendar(daily, dims.bands)
     country = boards.country_calendar(daily, dims.stations, dims.bands)
-    present = plausible(pollutants(clean), keep_null=False)
+    present = newest_part(plausible(pollutants(clean), keep_null=False), as_of)
     freshness = boards.staleness(present, as_of, date="to_time")
+    sites = boards.inversion_readings(observations.temperatures(clean), dims.low_station, dims.high_station)
     inversion = boards.temperature_inversion(
-        observations.temperatures(clean), dims.low_station, dims.high_station
+        newest_part(sites, as_of, "date"), dims.low_station, dims.high_station
     )
     return {
         "web_mapping": boards.mapping_distinct(dims.mapping),
         "web_graphic_colors": boards.graph_colors(dims.colors),
-        "web_mapping_data": boards.series_catalogue(clean, dims.mapping, dims.stations),
+        "web_mapping_data": boards.series_catalogue(extents, dims.mapping, dims.stations),
         "web_latest_data": boards.latest_common(latest),
         "web_latest_data_lang": boards.latest_lang(latest),
         "web_stations": boards.stations_common(dims.stations),
@@ -113,14 +124,16 @@ def publish_site(
     of the published tables.
     """
     spark = configure(deliveries.sparkSession)
-    path = {n: f"{folder.rstrip('/')}/{n}" for n in ("web_observations", "indices", "daily")}
+    path = {n: f"{folder.rstrip('/')}/{n}" for n in ("web_observations", "indices", "daily", "extents")}
     changed = with_day(deliveries).select("day").distinct() if days is None else days.select("day").distinct()
     changed = write_out(changed, "days")
     refresh_observations(deliveries, changed, path["web_observations"])
     clean = clean_sentinels(read_history(spark, path["web_observations"]))
     refresh_indices(clean, changed, dims, path["indices"])
     refresh_daily(spark.read.parquet(path["indices"]), changed, path["daily"])
-    tables = site_tables(clean, spark.read.parquet(path["daily"]), dims, as_of)
+    refresh_extents(clean, changed, path["extents"])
+    daily, extents = spark.read.parquet(path["daily"]), spark.read.parquet(path["extents"])
+    tables = site_tables(clean, daily, extents, dims, as_of)
     for name, table in tables.items():
         publish(table, f"{folder.rstrip('/')}/{name}")
     return ["web_observations", *tables]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,10 +93,17 @@ def log_run(
     log.write.mode("append").option("header", True).option("nullValue", "NA").csv(path)
 
 
-def mark_failed(log: DataFrame, order: str = "time_begin") -> DataFrame:
-    """The log with its last row flagged as failed."""
-    last = log.select(F.max(order)).scalar()
-    return log.withColumn("error_script", F.when(F.col(order) == last, True).otherwise(F.col("error_script")))
+def mark_failed(log: DataFrame, order: str = "time_begin", keys: Sequence[str] = ()) -> DataFrame:
+    """The log with its last row (per key) flagged as failed."""
+    if not keys:
+        last = log.select(F.max(order)).scalar()
+        return log.withColumn("error_script", F.col("error_script") | (F.col(order) == last))
+    last = log.groupBy(*keys).agg(F.max(order).alias("_last"))
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    failed = F.col("error_script") | (F.col(order) == F.col("_last"))
+    return log.alias("l").join(last.alias("r"), same).select(
+        *[(failed if c == "error_script" else F.col(f"l.{c}")).alias(c) for c in log.columns]
+    )
 
 
 def write_feed(items: DataFrame, path: str) -> None:

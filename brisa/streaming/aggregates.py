@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions.numbers import round_half_even
-from brisa.operators.dedupe import delivery_order
+from brisa.operators.dedupe import has_value, verified
 from brisa.operators.windows import CAPTURE
 
 
@@ -26,10 +26,12 @@ def stream_running_mean(
     ``delay`` is how late corrections arrive.  ``date`` is the end of the hour.  A window counts only
     if its last hour was observed, so no means appear after a series ends.
     """
+    last = F.expr(f"-`{seq}`") if seq else F.col("value")
+    order = F.struct("touched", verified("verification_flag"), has_value("value"), last)
     settled = (
         obs.withWatermark("from_time", delay)
         .groupBy(F.window("from_time", "1 hour").alias("hour"), "sampling_point_id")
-        .agg(F.max_by(F.struct("value"), delivery_order(seq=seq)).alias("_row"))
+        .agg(F.max_by(F.struct("value"), order).alias("_row"))
         .select("sampling_point_id", "hour", F.col("_row.value").alias("value"))
         .where((F.col("value") > floor) | F.col("value").isNull())
     )

@@ -335,7 +335,12 @@ def map_xy(spark, sf):
     ),
 )
 def series_extent(spark, sf):
-    return aggregates.series_extent(frames.kept(spark, sf))
+    extent = aggregates.series_extent(frames.kept(spark, sf))
+    return extent.select(
+        "sampling_point_id",
+        timeutil.format_position("first_time").alias("fromtime"),
+        timeutil.format_position("last_time").alias("totime"),
+    )
 
 
 @case(
@@ -352,7 +357,8 @@ def series_extent(spark, sf):
     ),
 )
 def series_catalogue(spark, sf):
-    return boards.series_catalogue(frames.kept(spark, sf), adapter.mapping(spark), adapter.stations(spark))
+    extents = aggregates.series_extent(frames.kept(spark, sf))
+    return boards.series_catalogue(extents, adapter.mapping(spark), adapter.stations(spark))
 
 
 @case(
@@ -807,14 +813,14 @@ def count_alerts(spark, sf):
 @case(
     "mark_last_failed",
     sql(
-        """SELECT time_begin, file_found, rows, time_begin = (SELECT max(time_begin) FROM runlog) OR error_script AS error_script
-           FROM runlog WHERE feed = 'click'""",
+        """SELECT feed, time_begin, file_found, rows,
+                  time_begin = max(time_begin) OVER (PARTITION BY feed) OR error_script AS error_script
+           FROM runlog""",
         "runlog",
     ),
 )
 def mark_last_failed(spark, sf):
-    log = adapter.runlog(spark, sf).where("feed = 'click'")
-    return writers.mark_failed(log).select("time_begin", "file_found", "rows", "error_script")
+    return writers.mark_failed(adapter.runlog(spark, sf), keys=["feed"])
 
 
 # --- scalar functions -----------------------------------------------------------------------------

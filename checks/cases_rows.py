@@ -419,11 +419,11 @@ STORED = "sampling_point_id, begin_position, end_position, value, verification_f
 , stored AS (SELECT {STORED} FROM kept WHERE verification_flag = 1),
 fresh AS (SELECT {STORED} FROM kept n WHERE CAST(substr(sampling_point_id, 13) AS INTEGER) < 9000 AND NOT EXISTS (
    SELECT 1 FROM stored s WHERE {" AND ".join(f"s.{k} IS NOT DISTINCT FROM n.{k}" for k in SIX.split(", "))})),
-best AS (SELECT DISTINCT {STORED} FROM (
-   SELECT *, rank() OVER (PARTITION BY sampling_point_id, to_time ORDER BY verification_flag NULLS LAST) AS r
+best AS (SELECT {STORED} FROM (
+   SELECT *, row_number() OVER (PARTITION BY sampling_point_id, to_time ORDER BY verification_flag NULLS LAST, (value IS NULL),
+        touched DESC, value DESC, validation_flag DESC) AS r
    FROM (SELECT * FROM stored UNION ALL SELECT * FROM fresh)) WHERE r = 1)
-SELECT row_number() OVER (ORDER BY sampling_point_id, from_time, begin_position, end_position, value NULLS FIRST,
-         verification_flag NULLS FIRST, validation_flag, touched, to_time, import_value NULLS FIRST) AS id,
+SELECT row_number() OVER (ORDER BY sampling_point_id, to_time) AS id,
        sampling_point_id, begin_position, end_position, CAST(coalesce(value, -999) AS DECIMAL(38,5)) AS value,
        verification_flag, validation_flag, touched, from_time, to_time,
        CAST(coalesce(import_value, -999) AS DECIMAL(38,5)) AS import_value
