@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions.timeutil import day_of
-from brisa.operators.joins import sized, stack
+from brisa.operators.joins import sized
 
 # Fixed value: pollutant order of the calendar, also used to break ties between equal indices.
 POLLUTANT_ORDER = ("SO2", "CO", "NO2", "O3", "PM10", "PM2.5")
@@ -65,17 +65,19 @@ def country_now(board: DataFrame, station: str = "station_id") -> DataFrame:
     return board.where("web_global").agg(first.alias("_row")).where("_row IS NOT NULL").select("_row.*")
 
 
-def series_extent(obs: DataFrame, key: str = "sampling_point_id", begin: str = "from_time") -> DataFrame:
+def series_extent(
+    obs: DataFrame, keys: Sequence[str] = ("sampling_point_id",), begin: str = "from_time"
+) -> DataFrame:
     """First and last begin per series (``first_time``, ``last_time``).
 
     Repeated deliveries do not change them, so ``obs`` need not be de-duplicated.
     """
-    return obs.groupBy(key).agg(F.min(begin).alias("first_time"), F.max(begin).alias("last_time"))
+    return obs.groupBy(*keys).agg(F.min(begin).alias("first_time"), F.max(begin).alias("last_time"))
 
 
-def merge_extents(*extents: DataFrame, key: str = "sampling_point_id") -> DataFrame:
-    """One extent per series that covers all the given ones."""
-    return stack(*extents).groupBy(key).agg(
+def merge_extents(parts: DataFrame, keys: Sequence[str] = ("sampling_point_id",)) -> DataFrame:
+    """One extent per series from extents of parts of the data, such as days."""
+    return parts.groupBy(*keys).agg(
         F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")
     )
 

@@ -70,10 +70,9 @@ def refresh_daily(index: DataFrame, days: DataFrame, path: str) -> None:
 
 
 def refresh_extents(clean: DataFrame, days: DataFrame, path: str) -> None:
-    """Widen the stored first and last hours of the series by those of the given days."""
-    extents = aggregates.series_extent(on_days(clean, days))
-    known = read_history(clean.sparkSession, path, extents.schema)
-    publish(write_out(aggregates.merge_extents(known, extents), "extents"), path)
+    """Rebuild the stored first and last hours of each series on the given days."""
+    extents = aggregates.series_extent(on_days(clean, days), ("day", "sampling_point_id"))
+    save_days(extents, path, "sampling_point_id")
 
 
 def site_tables(
@@ -132,7 +131,7 @@ def publish_site(
     refresh_indices(clean, changed, dims, path["indices"])
     refresh_daily(spark.read.parquet(path["indices"]), changed, path["daily"])
     refresh_extents(clean, changed, path["extents"])
-    daily, extents = spark.read.parquet(path["daily"]), spark.read.parquet(path["extents"])
+    daily, extents = spark.read.parquet(path["daily"]), aggregates.merge_extents(spark.read.parquet(path["extents"]))
     tables = site_tables(clean, daily, extents, dims, as_of)
     for name, table in tables.items():
         publish(table, f"{folder.rstrip('/')}/{name}")

@@ -73,7 +73,7 @@ def test_publishing_only_changed_days_equals_publishing_everything(spark, tmp_pa
     kept = {f for f in spark.read.parquet(f"{tmp_path}/steps/indices").inputFiles()}
     days = obs.where(late).select(F.to_date("from_time").alias("day"))
     names = publish.publish_site(obs, dims, f"{tmp_path}/steps", as_of, days)
-    for name in [*names, "indices", "daily"]:
+    for name in [*names, "indices", "daily", "extents"]:
         a, b = (spark.read.parquet(f"{tmp_path}/{f}/{name}") for f in ("whole", "steps"))
         columns = [f"`{c}`" for c in sorted(a.columns)]
         assert rows(a, *columns) == rows(b, *columns), name
