@@ -19,9 +19,15 @@ from brisa.operators.joins import only_in
 SERIES_HOUR = ("sampling_point_id", "from_time")
 
 
-def _best_row(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+def _best_row(df: DataFrame, keys: Sequence[str], criteria: Sequence[Column]) -> DataFrame:
+    """The greatest row per key by the criteria, then by its own columns.
+
+    Criteria and columns travel as one struct.  With the columns behind the criteria the order is
+    total, so the choice never depends on the order in which rows happen to be read.
+    """
+    rest = [f"`{c}`" for c in df.columns if c not in keys]
+    ranked = F.struct(*[c.alias(f"_{n}") for n, c in enumerate(criteria)], *rest)
+    best = df.groupBy(*keys).agg(F.max(ranked).alias("_row"))
     return best.selectExpr(*[f"`{c}`" if c in keys else f"_row.`{c}` AS `{c}`" for c in df.columns])
 
 
@@ -48,10 +54,9 @@ def prefer_value(
 ) -> DataFrame:
     """One row per key: a row with a value if there is one, then the newest, then the first delivered.
 
-    ``seq`` is the order of delivery.  Without it the remaining columns decide, here and below, so
-    that the choice never depends on the order in which rows happen to be read.
+    ``seq`` is the order of delivery.  Without it the remaining columns decide, here and below.
     """
-    return _best_row(df, keys, F.struct(has_value(value), F.col(newest), *_last(df, keys, seq)))
+    return _best_row(df, keys, [has_value(value), F.col(newest), *_first_delivered(seq)])
 
 
 def clean_observations(
@@ -67,8 +72,8 @@ def clean_observations(
     Each step keeps the best rows among the survivors of the one before, which is the same as
     taking the maximum of the three criteria in that order.
     """
-    order = F.struct(F.col(newest), verified(flag), has_value(value), *_last(df, keys, seq))
-    return _best_row(df, keys, order)
+    criteria = [F.col(newest), verified(flag), has_value(value), *_first_delivered(seq)]
+    return _best_row(df, keys, criteria)
 
 
 def best_observations(
@@ -84,8 +89,8 @@ def best_observations(
     For rows of different origin, such as stored and delivered ones: a validated value outranks a
     newer raw one.
     """
-    order = F.struct(verified(flag), has_value(value), F.col(newest), *_last(df, keys, seq))
-    return _best_row(df, keys, order)
+    criteria = [verified(flag), has_value(value), F.col(newest), *_first_delivered(seq)]
+    return _best_row(df, keys, criteria)
 
 
 def verified(flag: str) -> Column:
@@ -97,13 +102,13 @@ def has_value(value: str) -> Column:
     return F.expr(f"`{value}` IS NOT NULL")
 
 
-def _last(df: DataFrame, keys: Sequence[str], seq: str | None) -> list[Column]:
-    return [F.expr(f"-`{seq}`")] if seq else [F.col(f"`{c}`") for c in df.columns if c not in keys]
+def _first_delivered(seq: str | None) -> list[Column]:
+    return [F.expr(f"-`{seq}`")] if seq else []
 
 
 def keep_newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key in load order."""
-    return _best_row(df, keys, F.struct(*order))
+    return _best_row(df, keys, [F.col(c) for c in order])
 
 
 def latest_per_station(df: DataFrame, station: str = "station", date: str = "date") -> DataFrame:

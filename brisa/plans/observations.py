@@ -69,8 +69,18 @@ def ingest(drop: DataFrame, mapping: DataFrame, touched: Column, verification_fl
 
 
 def published_observations(obs: DataFrame, seq: str | None = None) -> DataFrame:
-    """One row per series and hour: the newest delivery, best verified, with a value if there is one."""
-    return clean_observations(drop_future(obs), seq=seq)
+    """One row per series and hour: the newest delivery, best verified, with a value if there is one.
+
+    The text positions are the instants written out, so they are left out of the shuffle and
+    written again behind it.
+    """
+    clean = clean_observations(drop_future(obs).drop("begin_position", "end_position"), seq=seq)
+    return clean.withColumns(
+        {
+            "begin_position": timeutil.format_position("from_time"),
+            "end_position": timeutil.format_position("to_time"),
+        }
+    ).select(*obs.columns)
 
 
 def with_stored(obs: DataFrame, stored: DataFrame, seq: str | None = None) -> DataFrame:

@@ -51,14 +51,12 @@ def with_day(df: DataFrame, date: str = "from_time") -> DataFrame:
 def save_days(df: DataFrame, path: str, *order: str) -> None:
     """Replace the days (partition column ``day``) that occur in ``df`` and leave all others untouched.
 
-    Ranges of (day, ``order``) are cut by sampled sizes: a large day or series gets several files, a
-    small one few, and a file's statistics cover a narrow range.  ``path`` must not be what ``df`` is
-    read from.
+    Rows are gathered by day; adaptive execution splits a large day into several files of its
+    advisory size and puts small days into one task.  ``path`` must not be what ``df`` is read from.
     """
-    by = ("day", *order)
     (
-        df.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
+        df.hint("rebalance", F.col("day"))
+        .sortWithinPartitions("day", *order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
