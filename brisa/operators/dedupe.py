@@ -115,7 +115,8 @@ def latest_per_station(df: DataFrame, station: str = "station", date: str = "dat
     """Rows at each station's own latest time; ties are kept.
 
     The earliest of those times bounds the scan first: no row before it can qualify, so where the
-    stations report up to now only the newest rows reach the join.
+    stations report up to now only the newest rows reach the join.  ``df`` is read three times and
+    should be a stored table; where a station has one row per time, :func:`keep_newest` reads it once.
     """
     latest = df.groupBy(station).agg(F.max(date).alias(date))
     floor = latest.select(F.min(date)).scalar()

@@ -47,7 +47,8 @@ def feed_items(
 ) -> DataFrame:
     """Feed items: the country first, then every board station listed in ``stations``.
 
-    ``updated`` is the instant of the latest data and ``link`` the address items lead to.
+    ``updated`` is the instant of the latest data and ``link`` the address items lead to.  The board is
+    read twice and should be a stored table.
     """
     text = F.format_string(ITEM, F.col(f"aqi_band_{lang}"), F.floor("aqi"))
     published = timeutil.feed_date(updated)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from brisa.functions import numbers, text, timeutil
 from brisa.operators import aggregates, dedupe, filters, indices, joins, reshape
 from brisa.plans import alerts, boards, feed, observations, pollen, profiles
+from brisa.session import write_out
 from brisa.sources import writers
 from checks import adapter, frames
 from checks.adapter import sql
@@ -165,9 +166,11 @@ FROM a FULL JOIN o ON a.station = o.station AND a.date = o.date""",
 )
 def latest_full_join(spark, sf):
     names = ["NO2", "O3", "PM10", "PM2.5", "SO2"]
-    index = dedupe.latest_per_station(aggregates.station_aqi(frames.index(spark, sf)))
-    rows = filters.any_present(reshape.pivot_values(frames.conc(spark, sf), names), [f"`{n}`" for n in names])
-    return joins.join_latest(index, dedupe.latest_per_station(rows))
+    index = write_out(frames.index(spark, sf), "index")
+    rows = filters.any_present(reshape.pivot_values(index, names), [f"`{n}`" for n in names])
+    # One row per station and time on both sides, so the newest row needs no join to find it.
+    latest = [dedupe.keep_newest(df, ["station"], ["date"]) for df in (aggregates.station_aqi(index), rows)]
+    return joins.join_latest(*latest)
 
 
 # --- latest board ---------------------------------------------------------------------------------
@@ -235,7 +238,7 @@ LEFT JOIN (SELECT * FROM mapping WHERE pos <> 6) m ON i.pollutant = m.notation W
     ),
 )
 def latest_own_time(spark, sf):
-    own = dedupe.latest_per_station(frames.index(spark, sf))
+    own = dedupe.latest_per_station(write_out(frames.index(spark, sf), "index"))
     rows = boards.latest_rows(own, adapter.mapping(spark), None, adapter.bands(spark))
     return rows.select(
         "station", "date", "pollutant", F.floor("value").cast("double").alias("amount"), "index",
@@ -464,7 +467,7 @@ SELECT title, link, link AS guid, 'La qualitat de l''aire és ' || band || ' - 
 def feed_items(spark, sf):
     listed = frames.conc0(spark, sf).select(F.col("station").alias("station_id")).distinct()
     updated = frames.conc(spark, sf).where("value IS NOT NULL").select(F.max("date")).scalar()
-    return feed.feed_items(_map(spark, sf), listed, updated, "https://example.org/")
+    return feed.feed_items(write_out(_map(spark, sf), "map"), listed, updated, "https://example.org/")
 
 
 # --- graph, inversion, utilities ------------------------------------------------------------------
