@@ -69,16 +69,19 @@ def newest_part(df: DataFrame, as_of: Column, date: str = "to_time") -> DataFram
 LISTED_DAYS = 10_000
 
 
+def listed_days(days: DataFrame) -> list | None:
+    """The distinct days of a frame, one per calendar day and so few; None beyond the bound."""
+    listed = [r[0] for r in days.select("day").distinct().limit(LISTED_DAYS + 1).collect()]
+    return listed if len(listed) <= LISTED_DAYS else None
+
+
 def on_days(df: DataFrame, days: DataFrame) -> DataFrame:
     """Rows of a table partitioned by ``day`` on the given days, reading only their partitions.
 
-    The days (one per calendar day, so few) become literals of the partition filter.  More of them
-    than the bound are never fetched; they are joined.
+    The days become literals of the partition filter; more of them than the bound are joined.
     """
-    listed = [r[0] for r in days.select("day").distinct().limit(LISTED_DAYS + 1).collect()]
-    if len(listed) > LISTED_DAYS:
-        return only_in(df, days, ["day"])
-    return df.where(F.col("day").isin(listed))
+    listed = listed_days(days)
+    return only_in(df, days, ["day"]) if listed is None else df.where(F.col("day").isin(listed))
 
 
 def any_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:

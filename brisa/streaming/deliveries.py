@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from brisa import schemas
 from brisa.operators.dedupe import latest_wins
-from brisa.operators.filters import on_days
+from brisa.operators.filters import listed_days
 from brisa.operators.joins import only_in, stack
 from brisa.plans.alerts import ingest_alerts
 from brisa.sources.readers import typed_drop
@@ -51,8 +51,8 @@ def stream_drop(
     return typed_drop(rows)
 
 
-def keep_batch(batch: DataFrame, batch_id: int, path: str, partitions: Sequence[str] = ("day",)) -> DataFrame:
-    """Write a batch to its own partitions of ``path`` and return all kept rows."""
+def keep_batch(batch: DataFrame, batch_id: int, path: str, partitions: Sequence[str] = ("day",)) -> None:
+    """Write a batch to its own partitions of ``path``, replacing them if the batch is run again."""
     (
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
@@ -60,17 +60,28 @@ def keep_batch(batch: DataFrame, batch_id: int, path: str, partitions: Sequence[
         .partitionBy(*partitions, "batch_id")
         .parquet(path)
     )
+
+
+def kept_batches(batch: DataFrame, path: str, days: Sequence | None = None) -> DataFrame:
+    """All kept rows, or those of some days: only the folders of these days are listed then."""
     schema = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
-    return batch.sparkSession.read.schema(schema).parquet(path)
+    folders = [path] if days is None else [f"{path}/day={day}" for day in days]
+    return batch.sparkSession.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def upsert_history(deliveries: str, history: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: keep the batch, then rebuild the days it touches, newest delivery first."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = keep_batch(with_day(batch), batch_id, deliveries)
-        days = on_days(kept, kept.where(F.col("batch_id") == batch_id))
-        save_history(latest_wins(days.drop("batch_id", "day")), history)
+        rows = with_day(batch)
+        days = listed_days(rows)
+        if days == []:
+            return
+        keep_batch(rows, batch_id, deliveries)
+        kept = kept_batches(rows, deliveries, days)
+        if days is None:
+            kept = only_in(kept, kept.where(F.col("batch_id") == batch_id).select("day").distinct(), ["day"])
+        save_history(latest_wins(kept.drop("batch_id", "day")), history)
 
     return write
 
@@ -96,7 +107,8 @@ def alert_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = keep_batch(batch, batch_id, log, partitions=())
+        keep_batch(batch, batch_id, log, partitions=())
+        kept = kept_batches(batch, log)
         now = kept.where(F.col("batch_id") == batch_id).drop("batch_id")
         before = kept.where(F.col("batch_id") < batch_id).drop("batch_id")
         columns = [F.col(c) for c in now.columns if c not in keys]
