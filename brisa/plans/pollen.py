@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from brisa.operators.dedupe import latest_wins
 from brisa.operators.filters import null_by_rating
 from brisa.operators.indices import pollen_level
 from brisa.operators.joins import lookup, stack
+from brisa.operators.reshape import pivot_values
 
 
 def pollen_clean(raw: DataFrame) -> DataFrame:
@@ -57,3 +60,22 @@ def merge_historic(historic: DataFrame, new: DataFrame) -> DataFrame:
     Both are long (measurement_date, species, measurement, load_seq); a day comes whole from one load.
     """
     return latest_wins(stack(historic, new), ["measurement_date"], "load_seq")
+
+
+def pollen_load(raw: DataFrame, load_seq: int) -> DataFrame:
+    """The delivered week as rows of the long history; ``load_seq`` grows with every delivery."""
+    clean = pollen_clean(raw).groupBy("measurement_date", "species").agg(F.max("measurement").alias("measurement"))
+    return clean.withColumn("load_seq", F.lit(load_seq).cast("bigint"))
+
+
+def process_week(
+    raw: DataFrame, historic: DataFrame, load_seq: int, thresholds: DataFrame, names: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(levels of the week, history with the week merged in)."""
+    levels = pollen_weekly_levels(raw, thresholds, names)
+    return levels, merge_historic(historic, pollen_load(raw, load_seq))
+
+
+def history_wide(history: DataFrame, species: Sequence[str]) -> DataFrame:
+    """The history with one column per species."""
+    return pivot_values(history, species, ["measurement_date"], "species", "measurement")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brisa import schemas
@@ -91,6 +91,18 @@ def log_run(
     log.write.mode("append").option("header", True).option("nullValue", "NA").csv(path)
 
 
+def log_rows(drop: DataFrame, time_begin: Column, time_end: Column) -> DataFrame:
+    """Run-log rows of delivered rows with ``file`` and ``time_file``: one per file, with its row count."""
+    return drop.groupBy("file", "time_file").agg(F.count(F.lit(1)).alias("rows")).select(
+        time_begin.alias("time_begin"),
+        F.lit(True).alias("file_found"),
+        "time_file",
+        "rows",
+        time_end.alias("time_end"),
+        F.lit(False).alias("error_script"),
+    )
+
+
 def mark_failed(log: DataFrame, order: str = "time_begin", keys: Sequence[str] = ()) -> DataFrame:
     """The log with its last row (per key) flagged as failed."""
     if not keys:

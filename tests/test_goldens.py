@@ -245,3 +245,29 @@ def test_recent_observations_prefers_a_value(spark):
     got = observations.recent_observations(df, F.lit("2022-03-22 00:00:00").cast("timestamp"), 30, seq="seq")
     assert seqs(got) == [3, 4, 6]
     assert observations.recent_observations(df, F.lit("2022-05-22 00:00:00").cast("timestamp"), 30).count() == 0
+
+
+def test_week_is_processed_and_merged(spark, rows):
+    raw = frame(
+        spark,
+        [("click ", 20.0, 1, "21/03/2022", "21/03/2022"), ("click", 40.0, 1, "22/03/2022", "22/03/2022"), ("signup", 9.0, 1, "22/03/2022", "22/03/2022")],
+        "pid string, measurement double, ratid int, start_date string, end_date string",
+    )
+    old = frame(spark, [(dt.date(2022, 3, 20), "click", 1.0, 1), (dt.date(2022, 3, 21), "click", 2.0, 1)], "measurement_date date, species string, measurement double, load_seq bigint")
+    levels, history = pollen.process_week(raw, old, 2, adapter.pollen_thresholds(spark), adapter.pollen_names(spark))
+    found = {r["species"]: (r["index"], r["type"], r["start_date"], r["end_date"]) for r in levels.collect()}
+    week = (dt.date(2022, 3, 21), dt.date(2022, 3, 22))
+    assert found == {"click": (2, "pollen", *week), "signup": (None, "pollen", *week)}
+    assert rows(pollen.history_wide(history, ["click", "signup"])) == [
+        (dt.date(2022, 3, 20), 1.0, None),
+        (dt.date(2022, 3, 21), 20.0, None),
+        (dt.date(2022, 3, 22), 40.0, 9.0),
+    ]
+
+
+def test_log_rows_count_each_file(spark):
+    from brisa.sources import writers
+
+    df = frame(spark, [("a", T0), ("a", T0), ("b", T0)], "file string, time_file timestamp")
+    now = F.lit("2022-03-21 01:00:00").cast("timestamp")
+    assert sorted(r["rows"] for r in writers.log_rows(df, now, now).collect()) == [1, 2]
