@@ -78,6 +78,10 @@ def test_hot_key_is_split_in_an_anti_join(spark, tiny_partitions):
     assert df.count() == 40_000
 
 
+def test_measured_small_partitions_are_hashed_not_sorted(spark, tiny_partitions):
+    assert "ShuffledHashJoin" in run_plan(dedupe.latest_wins(hot(spark)))
+
+
 def test_hot_key_reaches_the_shuffle_combined(spark):
     plan = plan_of(dedupe.clean_observations(hot(spark), seq="seq"))
     assert plan.index("partial_max(") > plan.index("Exchange hashpartitioning")  # printed top down
