@@ -15,26 +15,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 # Rows up to which a dimension table of unknown size is broadcast.
 DIMENSION_ROWS = 100_000
 
+# Estimates from here on mean that Spark does not know a size (rows given by a program).
+UNKNOWN_BYTES = 1 << 50
+
 
 def known_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of a frame's size; frames of unknown size report an enormous one."""
+    """Spark's own estimate of a frame's size."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits(dim: DataFrame) -> bool:
-    """Whether a table is small enough to broadcast, by Spark's broadcast threshold.
+    """Whether a table is small enough to broadcast, by Spark's estimate and broadcast threshold.
 
-    If Spark does not know the size, rows are counted, at most one more than the bound.
+    Only where Spark does not know the size are rows counted, at most one more than the bound.  A
+    table that is estimated to be larger is not broadcast here; once its size has been measured,
+    adaptive execution may still do so.
     """
     threshold = dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if threshold.startswith("-"):
         return False
+    size = known_bytes(dim)
+    if size >= UNKNOWN_BYTES:
+        return dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS
     limit = dim.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
-    return known_bytes(dim) <= int(limit) or dim.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS
+    return size <= int(limit)
 
 
 def sized(side: DataFrame) -> DataFrame:
