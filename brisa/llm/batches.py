@@ -13,13 +13,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from brisa.session import configure
+
 SLICE_BYTES = 1 << 20
 # Rows that Spark puts into one Arrow batch: long documents must not add up to hundreds of megabytes.
 ARROW_ROWS = 500
 
 
 def configure_arrow(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, for texts of any length."""
+    """The session's settings, and small Arrow batches for texts of any length."""
+    configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
@@ -137,3 +140,11 @@ def lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """Just the named columns, whatever else there is."""
     return df.select(*[df[f"`{c}`"] for c in columns])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm import bloom
-from brisa.llm.batches import LOWER, Words, configure_arrow, gram_hashes, lists, only, slices, text_bytes
+from brisa.llm.batches import LOWER, Words, configure_arrow, fresh, gram_hashes, lists, only, slices, text_bytes
 from brisa.llm.graph import components
 from brisa.session import write_out
 
@@ -96,7 +96,7 @@ def in_order(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.n
 
 
 def _signatures(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """``(doc_id, n, node, prefix)`` per row."""
+    """``(doc_id, content, n, node, prefix)`` per row of ``texts(doc_id, content, text)``."""
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, size))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,15 +106,16 @@ def _signatures(texts: DataFrame, size: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("content"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([node_of(s) for s in sets], pa.int64()),
                     lists(prefixes, pa.int64()),
                 ],
-                ["doc_id", "n", "node", "prefix"],
+                ["doc_id", "content", "n", "node", "prefix"],
             )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return write_out(texts.mapInArrow(sign, f"doc_id {kind}, n long, node long, prefix array<long>"), "sets")
+    return write_out(texts.mapInArrow(sign, f"doc_id {kind}, content long, n long, node long, prefix array<long>"), "sets")
 
 
 def _postings(signed: DataFrame) -> DataFrame:
@@ -196,10 +197,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return write_out(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(multiply, "a long, b long"), "links")
 
 
-def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per document: its group by links of at least ``percent``."""
-    spark = configure_arrow(docs.sparkSession)
-    texts = only(docs, "doc_id", "text")
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(doc_id, content, n, node, component, group_id)`` per row; ``content`` is a hash of the text."""
+    configure_arrow(docs.sparkSession)
+    texts = only(docs, "doc_id", "text").withColumn("content", F.xxhash64("text"))
     signed = _signatures(texts, size, percent)
     postings = _postings(signed)
 
@@ -235,18 +236,30 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     classes = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = classes.groupBy("component").agg(F.min("first_id").alias("group_id"))
-    groups = classes.join(lowest, "component").select("node", "group_id")
-    return signed.join(groups, "node", "left").select(
+    groups = classes.join(lowest, "component").select("node", "component", "group_id")
+    return signed.drop("prefix").join(groups, "node", "left")
+
+
+def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` per document: its group by links of at least ``percent``."""
+    return _grouped(docs, size, percent).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("group_id", "doc_id").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group, one row for each; all columns are kept.
+    """One row of ``docs`` for each group, that with the smallest id (then by a hash of the text); all columns are kept.
 
-    Rows without an id stay as they are: nothing tells them apart.
+    Documents without words are linked with nothing and all stay. Of repeated rows any one stays.
     """
-    kept = jaccard_groups(docs, size, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.where(docs["doc_id"].isNotNull())
-    chosen = named.join(kept, named["doc_id"] == kept["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return chosen.union(docs.where(docs["doc_id"].isNull()))
+    rows = _grouped(docs, size, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("first")
+    chosen = rows.where("n > 0").groupBy("component").agg(first).select("first.doc_id", "first.content", F.lit(True).alias("once"))
+    kept = write_out(chosen.union(rows.where("n = 0").select("doc_id", "content", F.lit(False)).distinct()), "kept")
+    names = {c: fresh(docs, c) for c in ("kept_id", "kept_content", "once", "row")}
+    kept = kept.toDF(names["kept_id"], names["kept_content"], names["once"])
+    same = docs["doc_id"].eqNullSafe(kept[names["kept_id"]]) & (F.xxhash64(docs["text"]) == kept[names["kept_content"]])
+    found = docs.join(kept, same)
+    # Rows that are to stay once agree in all of the key; the others never do.
+    found = found.withColumn(names["row"], F.when(found[names["once"]], F.lit(0)).otherwise(F.monotonically_increasing_id()))
+    return found.dropDuplicates([names["kept_id"], names["kept_content"], names["row"]]).select(*[F.col(f"`{c}`") for c in docs.columns])

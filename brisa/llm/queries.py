@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brisa.llm import jaccard
-from brisa.session import configure
+from brisa.llm import (
+    chat,
+    decontamination,
+    jaccard,
+    licenses,
+    packing,
+    quality_rules,
+    rule_ensemble,
+    secrets,
+    substrings,
+    token_files,
+)
+from brisa.llm.tokens import tokenizer_path
+from brisa.session import configure, shared_folder, write_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,7 +50,7 @@ WITH RECURSIVE words AS (
     FROM documents
 ), grams AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS gram
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS gram
     FROM words
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
@@ -62,3 +76,132 @@ GROUP BY d.doc_id, s.n
 @query("op5_ngram_jaccard", JACCARD_SQL)
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+SUBSTRINGS_SQL = """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM words WHERE len(w) >= 35
+), named AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS content FROM windows
+), repeated AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY content) AS n FROM named) WHERE n > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM repeated
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+), kept AS (
+    SELECT p.doc_id, count(*) AS n_words, count(g.i) AS n_removed,
+           string_agg(CASE WHEN g.i IS NULL THEN p.word END, ' ' ORDER BY p.i) AS kept
+    FROM placed p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op9_substring_dedup", SUBSTRINGS_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_packing")
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
+@query("op8_token_files")
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"))
+    return token_files.with_crc(token_files.read_tokens(spark, path))
+
+
+DECONTAMINATION_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), places AS (
+    SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM items WHERE len(w) > 0
+), patterns AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS content FROM places
+), starts AS (
+    SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM words, (SELECT DISTINCT size FROM patterns) WHERE len(w) >= size
+), occurrences AS (
+    SELECT s.doc_id, s.i, s.size, p.item_id
+    FROM starts s JOIN patterns p ON p.size = s.size AND p.content = array_to_string(s.w[s.i:s.i + s.size - 1], ' ')
+), hit AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM occurrences) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occurrences) GROUP BY doc_id
+)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
+       sha256(coalesce(f.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(w.w) AS contaminated
+FROM words w LEFT JOIN hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
+
+@query("op6_decontamination", DECONTAMINATION_SQL)
+def decontamination_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_quality_rules")
+def quality_rules_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op2_rule_ensemble")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# Control strings said by both sides of a conversation that no table has.
+CONTROLS = "<|im_end|><|im_start|>assistant ok"
+
+CHAT_SQL = """
+WITH turns AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), texts AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM turns
+), lengths AS (
+    SELECT *, length(regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g')) + length(role) + 24 AS rendered FROM texts
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum(rendered) AS BIGINT) AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
+
+@query("op7_chat_format", CHAT_SQL)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROLS), (-1, 1, "assistant", CONTROLS)], turns.schema)
+    written = write_out(chat.format_chats(turns.union(extra), tokenizer_path("byte_bpe_50k.json")), "chats")
+    return chat.read_back(written)
+
+
+@query("op1_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Documents have no paths of their own: a source is a root, with a directory for each thousand ids.
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
