@@ -12,8 +12,14 @@ LOCALES = {"CAT": "ca-ES", "EN": "en-GB", "FR": "fr-FR"}
 METEO_FROM = 9000
 
 
+# Fixed value: what stands for a missing part of a series identifier.
+UNKNOWN = "NA"
+
+
 def make_series_id(station: Column, code: Column) -> Column:
-    return F.concat(F.lit("SPO-AD0"), station, F.lit("A-"), code.cast("string"))
+    """The identifier of a series; a missing station or code is marked, and the rest keeps its place."""
+    known = [F.coalesce(part.cast("string"), F.lit(UNKNOWN)) for part in (station, code)]
+    return F.concat(F.lit("SPO-AD0"), known[0], F.lit("A-"), known[1])
 
 
 def series_station(c: Column) -> Column:

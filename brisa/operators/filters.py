@@ -48,40 +48,23 @@ def last_days(df: DataFrame, as_of: Column, days: int = 30, date: str = "to_time
     return df.where(F.col(date) >= start)
 
 
-# Spans, in days before the present, that are searched for the newest rows before the whole table is.
-NEWEST_DAYS = (2, 30)
+def newest_part(df: DataFrame, date: str = "to_time", days: int = 2) -> DataFrame:
+    """The rows of the last ``days`` days before the latest row.
 
-
-def newest_part(df: DataFrame, as_of: Column, date: str = "to_time") -> DataFrame:
-    """The rows of the shortest of a few spans up to the present that has any, else all rows.
-
-    The latest rows are always among them, so "latest" questions have the same answer on this part,
-    which on a table partitioned by day is a handful of its partitions.
+    "Latest" questions have the same answer on this part.  The latest time is a scalar subquery, so a
+    table partitioned by day is then read from that day on.
     """
-    for days in NEWEST_DAYS:
-        part = last_days(df, as_of, days, date)
-        if not part.isEmpty():
-            return part
-    return df
-
-
-# Calendar days that a list of days may have before it is joined instead of written into the filter.
-LISTED_DAYS = 10_000
-
-
-def listed_days(days: DataFrame) -> list | None:
-    """The distinct days of a frame, one per calendar day and so few; None beyond the bound."""
-    listed = [r[0] for r in days.select("day").distinct().limit(LISTED_DAYS + 1).collect()]
-    return listed if len(listed) <= LISTED_DAYS else None
+    return last_days(df, df.select(F.max(date)).scalar(), days, date)
 
 
 def on_days(df: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of a table partitioned by ``day`` on the given days, reading only their partitions.
+    """Rows of a table partitioned by ``day`` on the given days; a row without a day is on none of them.
 
-    The days become literals of the partition filter; more of them than the bound are joined.
+    The span of the days prunes the table's partitions, the join keeps those that are listed.
     """
-    listed = listed_days(days)
-    return only_in(df, days, ["day"]) if listed is None else df.where(F.col("day").isin(listed))
+    listed = days.where("day IS NOT NULL").select("day").distinct()
+    first, last = (days.select(end("day")).scalar() for end in (F.min, F.max))
+    return only_in(df.where(F.col("day").between(first, last)), listed, ["day"])
 
 
 def any_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:

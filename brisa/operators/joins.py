@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # Rows up to which a dimension table of unknown size is broadcast.
 DIMENSION_ROWS = 100_000
 
+# The column of a dimension table that holds a row's place in its sheet.
+POSITION = "pos"
+
 # Estimates from here on mean that Spark does not know a size (rows given by a program).
 UNKNOWN_BYTES = 1 << 50
 
@@ -82,22 +85,24 @@ def lookup(
     dim: DataFrame,
     key: str | tuple[str, str],
     cols: Sequence[str],
-    order: str | Sequence[str] | None = None,
+    order: str | Sequence[str] = POSITION,
 ) -> DataFrame:
     """Add ``cols`` of the first row of ``dim`` with the same key; unmatched rows get nulls.
 
-    ``key`` is one name, or (name in ``df``, name in ``dim``).  ``order`` is the position column that
-    says which row of ``dim`` comes first; the rows of ``df`` are never multiplied.
+    ``key`` is one name, or (name in ``df``, name in ``dim``).  ``order`` is what says which row of
+    ``dim`` comes first, its place in the sheet unless told otherwise; a table without it is refused.
+    The rows of ``df`` are never multiplied.
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
-    position = [order] if isinstance(order, str) else list(order or [])
+    position = [order] if isinstance(order, str) else list(order)
+    if not position or not set(position) <= set(dim.columns):
+        raise ValueError(f"a lookup takes the first row by {position or 'an order'}, which the table must have")
     known = dim.where(F.col(dim_key).isNotNull())
     small = fits(dim)
-    # A checked small table is reduced to first rows in one task, without a shuffle of its own.
-    first = (
-        (known.coalesce(1) if small else known)
-        .groupBy(F.col(dim_key).alias("_key"))
-        .agg(F.min_by(F.struct(*cols), F.struct(*position, *cols)).alias("_row"))
+    # A table that Spark knows to be small is reduced to first rows in one task, without a shuffle of its own.
+    known = known.coalesce(1) if small and known_bytes(dim) < UNKNOWN_BYTES else known
+    first = known.groupBy(F.col(dim_key).alias("_key")).agg(
+        F.min_by(F.struct(*cols), F.struct(*position, *cols)).alias("_row")
     )
     side = F.broadcast(first) if small else first
     return df.join(side, F.col(left_key).eqNullSafe(F.col("_key")), "left").selectExpr(

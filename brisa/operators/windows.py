@@ -88,9 +88,10 @@ def _running_mean(df, widths, keys, date, value, out, capture, chunk_hours, widt
             {
                 "_s": F.expr(f"unix_seconds(`{date}`)"),
                 # Whole millionths add up exactly, so a mean on a half rounds the same in every run.
+                # What is no number below ten billion counts as missing.
                 "_v": F.expr(
                     f"CASE WHEN {width} IN ({listed}) "
-                    f"THEN CAST(CAST(`{value}` AS DECIMAL(18,6)) * 1000000 AS BIGINT) END"
+                    f"THEN CAST(TRY_CAST(`{value}` AS DECIMAL(16,6)) * 1000000 AS BIGINT) END"
                 ),
             }
         )
@@ -201,12 +202,13 @@ def assign_ids(
 ) -> DataFrame:
     """Number the rows 1, 2, 3 … over a total order, as ``prefix`` + number or as a plain number.
 
-    The rows are range-partitioned and sorted once and written with their place in their partition.
-    What is then counted is one row per partition, so no task ever sees the whole table.
+    The rows are written, range-partitioned from what was written (finding the ranges reads them a
+    second time), sorted, and written with their place in their partition. What is then counted is
+    one row per partition, so no task ever sees the whole table.
     ``start`` continues after an existing highest id; it may be a scalar subquery.
     """
     place = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = write_out(df, "rows").repartitionByRange(*order).sortWithinPartitions(*order)
     placed = write_out(
         ranged.withColumns(
             {"_part": F.shiftright(place, 33), "_place": place.bitwiseAND(F.lit((1 << 33) - 1))}
@@ -219,6 +221,6 @@ def assign_ids(
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     number = F.col("_before") + F.col("_place") + F.lit(1) + (start if isinstance(start, Column) else F.lit(start))
     value = number.cast("bigint") if prefix is None else F.concat(F.lit(prefix), number.cast("string"))
-    return placed.join(offsets, "_part").select(
+    return placed.join(F.broadcast(offsets), "_part").select(
         value.alias(out), *[F.col(f"`{c}`") for c in df.columns if c != out]
     )

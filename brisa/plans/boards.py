@@ -15,7 +15,7 @@ from brisa.operators.aggregates import POLLUTANT_ORDER, rank_in
 from brisa.operators.dedupe import at_latest
 from brisa.operators.filters import finite, pollutants
 from brisa.operators.indices import index_bands
-from brisa.operators.joins import complete_pairs, lookup, sized
+from brisa.operators.joins import POSITION, complete_pairs, lookup, sized
 from brisa.operators.reshape import (
     constant_rows,
     matching_columns,
@@ -113,10 +113,10 @@ def episodes(latest: DataFrame, thresholds: DataFrame, langs: Sequence[str] = tu
 # --- stations and series -------------------------------------------------------------------------
 
 
-def station_rows(dim: DataFrame) -> DataFrame:
-    """Station sheet with the bare station code and only its published columns."""
+def station_rows(dim: DataFrame, *more: str) -> DataFrame:
+    """Station sheet with the bare station code and only its published columns, and any others asked for."""
     return dim.select(
-        F.substr(F.col("station_id"), F.lit(5)).alias("station_id"), *matching_columns(dim, contains="web_")
+        F.substr(F.col("station_id"), F.lit(5)).alias("station_id"), *matching_columns(dim, contains="web_"), *more
     )
 
 
@@ -137,7 +137,7 @@ def series_catalogue(extents: DataFrame, mapping: DataFrame, stations: DataFrame
     """
     parts = split_series(pollutants(extents))
     labelled = lookup(parts, mapping, ("code", "pollutant_id"), ["notation"])
-    labelled = lookup(labelled, station_rows(stations), ("station", "station_id"), ["web_name_noaccents"])
+    labelled = lookup(labelled, station_rows(stations, POSITION), ("station", "station_id"), ["web_name_noaccents"])
     return labelled.select(
         F.col("sampling_point_id").alias("timeserieid"),
         F.concat_ws(", ", "web_name_noaccents", "notation").alias("label"),
@@ -189,7 +189,7 @@ def map_board(current: DataFrame, stations: DataFrame, bands: DataFrame, box: Ma
     """
     worst = index_bands(aggregates.station_aqi(current), bands, "aqi")
     placed = lookup(
-        worst, station_rows(stations), ("station", "station_id"), ["web_global", "web_name", "web_lat", "web_long"]
+        worst, station_rows(stations, POSITION), ("station", "station_id"), ["web_global", "web_name", "web_lat", "web_long"]
     )
     missing = F.col("aqi").isNull()
     return map_xy(placed, box).select(

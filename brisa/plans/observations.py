@@ -14,13 +14,12 @@ from brisa.operators.filters import (
     drop_future,
     last_days,
     meteo,
-    newest_part,
     plausible,
     pollutants,
     since,
 )
 from brisa.operators.indices import aqi_decimal
-from brisa.operators.joins import lookup, merge_rows, new_rows, stack
+from brisa.operators.joins import POSITION, lookup, merge_rows, new_rows, stack
 from brisa.operators.reshape import split_series
 from brisa.operators.windows import AVERAGING_HOURS, assign_ids, running_means
 from brisa.sources.readers import load_series
@@ -37,7 +36,7 @@ STORED_KEYS = (
 
 
 def to_observations(
-    drop: DataFrame, mapping: DataFrame, touched: Column, verification_flag: int | Column = 3, order: str | None = None
+    drop: DataFrame, mapping: DataFrame, touched: Column, verification_flag: int | Column = 3, order: str = POSITION
 ) -> DataFrame:
     """Typed delivery rows (see ``sources.readers.typed_drop``) as observation rows.
 
@@ -63,9 +62,11 @@ def to_observations(
     )
 
 
-def ingest(drop: DataFrame, mapping: DataFrame, touched: Column, verification_flag: int | Column = 3) -> DataFrame:
+def ingest(
+    drop: DataFrame, mapping: DataFrame, touched: Column, verification_flag: int | Column = 3, order: str = POSITION
+) -> DataFrame:
     """Observation rows of a delivery without hours that had not ended yet."""
-    return drop_future(to_observations(drop, mapping, touched, verification_flag))
+    return drop_future(to_observations(drop, mapping, touched, verification_flag, order))
 
 
 def published_observations(obs: DataFrame, seq: str | None = None) -> DataFrame:
@@ -126,16 +127,14 @@ def pollutant_indices(clean: DataFrame, mapping: DataFrame, breaks: DataFrame) -
 
 
 def current_indices(
-    clean: DataFrame, mapping: DataFrame, breaks: DataFrame, as_of: Column | None = None
+    clean: DataFrame, mapping: DataFrame, breaks: DataFrame
 ) -> DataFrame:
     """:func:`pollutant_indices` at the latest hour only.
 
     Running means reach back no further than the longest averaging time, so just those hours are read.
-    With the present time, the latest hour is looked for in the newest days first.
     """
     base = plausible(pollutants(clean))
-    newest = base if as_of is None else newest_part(base, as_of)
-    latest = newest.select(F.max("from_time")).scalar()
+    latest = base.select(F.max("from_time")).scalar()
     hours = max(AVERAGING_HOURS.values()) - 1
     index = pollutant_indices(since(base, timeutil.add_hours(latest, -hours)), mapping, breaks)
     return index.where(F.col("date") == timeutil.add_hours(latest, 1))

@@ -34,7 +34,7 @@ def week_bounds(raw: DataFrame) -> DataFrame:
 
 def pollen_weekly(clean: DataFrame) -> DataFrame:
     """Mean per species over the days with a measurement; null if there is none."""
-    total = F.sum(F.col("measurement").cast("decimal(18,6)")).cast("double")
+    total = F.sum(F.col("measurement").try_cast("decimal(16,6)")).cast("double")
     count = F.count("measurement")
     return clean.groupBy("species").agg(F.try_divide(total, count.cast("double")).alias("measurement"))
 

@@ -30,7 +30,7 @@ def time_variation(df: DataFrame, zone: str = timeutil.LOCAL_ZONE) -> DataFrame:
     keys = ("station", "pollutant")
     local = timeutil.local_time("date", zone)
     slots = ("month", "weekday", "hour")
-    v = F.col("value").cast("decimal(18,6)")
+    v = F.col("value").try_cast("decimal(16,6)")  # what does not fit counts as missing
     sums = (
         df.select(
             *keys,

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brisa.functions import timeutil
 from brisa.operators import aggregates
-from brisa.operators.filters import newest_part, on_days, plausible, pollutants
+from brisa.operators.filters import newest_part, on_days
 from brisa.operators.reshape import expected_pairs
 from brisa.plans import boards, observations
 from brisa.schemas import OBSERVATIONS
-from brisa.session import configure, write_out
-from brisa.sources.readers import clean_sentinels, read_history
+from brisa.session import configure, scratch, write_out
+from brisa.sources.readers import clean_sentinels, read_days, read_history
 from brisa.sources.writers import publish, save_days, save_history, with_day, with_sentinels
 
 
@@ -39,7 +39,7 @@ def refresh_observations(deliveries: DataFrame, days: DataFrame, path: str) -> N
     """Rebuild the published observations of the given days from all kept deliveries."""
     rows = on_days(deliveries if "day" in deliveries.columns else with_day(deliveries), days)
     clean = observations.published_observations(rows.drop("day"))
-    save_history(with_sentinels(clean.select(*[f.name for f in OBSERVATIONS.fields])), path)
+    save_history(with_sentinels(clean.select(*[f.name for f in OBSERVATIONS.fields])), path, rebuilt=days)
 
 
 def _around(days: DataFrame, first: int, last: int) -> DataFrame:
@@ -48,8 +48,8 @@ def _around(days: DataFrame, first: int, last: int) -> DataFrame:
     return days.select(F.explode(F.transform(offsets, lambda n: F.date_add("day", n))).alias("day")).distinct()
 
 
-def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, path: str) -> None:
-    """Rebuild the stored indices that a change on the given days can reach.
+def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, path: str) -> DataFrame:
+    """Rebuild the stored indices that a change on the given days can reach, and return all that are stored.
 
     Running means look back less than a day: they change on a day and the next, and the hours they
     need start the day before.
@@ -57,42 +57,47 @@ def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, path: s
     rows = on_days(clean, _around(days, -1, 1))
     index = observations.pollutant_indices(rows.drop("day"), dims.mapping, dims.breaks)
     stored = with_day(index.withColumn("_begin", timeutil.add_hours("date", -1)), "_begin").drop("_begin")
-    save_days(on_days(stored, _around(days, 0, 1)), path, "station", "date")
+    reached = _around(days, 0, 1)
+    save_days(on_days(stored, reached), path, "station", "date", rebuilt=reached)
+    return read_days(clean.sparkSession, path, stored)
 
 
-def refresh_daily(index: DataFrame, days: DataFrame, path: str) -> None:
-    """Rebuild the daily worst of the days that :func:`refresh_indices` can have changed.
+def refresh_daily(index: DataFrame, days: DataFrame, path: str) -> DataFrame:
+    """Rebuild the daily worst of the days that :func:`refresh_indices` can have changed, and return all days.
 
     The last hour that begins on a day ends on the next one and belongs to its calendar day.
     """
     rows = on_days(index, _around(days, -1, 2)).drop("day")
-    save_days(on_days(boards.daily_wide(rows), _around(days, 0, 2)), path, "station")
+    daily, reached = boards.daily_wide(rows), _around(days, 0, 2)
+    save_days(on_days(daily, reached), path, "station", rebuilt=reached)
+    return read_days(index.sparkSession, path, daily)
 
 
-def refresh_extents(clean: DataFrame, days: DataFrame, path: str) -> None:
-    """Rebuild the stored first and last hours of each series on the given days."""
+def refresh_extents(clean: DataFrame, days: DataFrame, path: str) -> DataFrame:
+    """Rebuild the stored first and last hours of each series on the given days, and return those of all days."""
     extents = aggregates.series_extent(on_days(clean, days), ("day", "sampling_point_id"))
-    save_days(extents, path, "sampling_point_id")
+    save_days(extents, path, "sampling_point_id", rebuilt=days)
+    return read_days(clean.sparkSession, path, extents)
 
 
 def site_tables(
-    clean: DataFrame, daily: DataFrame, extents: DataFrame, dims: Dimensions, as_of: Column
+    clean: DataFrame, index: DataFrame, daily: DataFrame, extents: DataFrame, dims: Dimensions, as_of: Column
 ) -> dict[str, DataFrame]:
     """Name -> table, from stored observations, their stored summaries and the present time.
 
-    The latest boards read the last hours of the observations and the graph their last days.
+    The latest boards read the last hours of the observations and the graph their last days. The last
+    update is the last hour with any concentration after running means, as the boards show them.
     """
-    current = write_out(observations.current_indices(clean, dims.mapping, dims.breaks, as_of), "current")
+    current = write_out(observations.current_indices(clean, dims.mapping, dims.breaks), "current")
     pairs = expected_pairs(dims.pollutants_stations)
     latest = boards.latest_board(current, dims.mapping, pairs, dims.bands)
     on_map = boards.map_board(current, dims.stations, dims.bands)
     by_pollutant = boards.calendar(daily, dims.bands)
     country = boards.country_calendar(daily, dims.stations, dims.bands)
-    present = newest_part(plausible(pollutants(clean), keep_null=False), as_of)
-    freshness = boards.staleness(present, as_of, date="to_time")
+    freshness = boards.staleness(index.where("value IS NOT NULL"), as_of)
     sites = boards.inversion_readings(observations.temperatures(clean), dims.low_station, dims.high_station)
     inversion = boards.temperature_inversion(
-        newest_part(sites, as_of, "date"), dims.low_station, dims.high_station
+        newest_part(sites, "date"), dims.low_station, dims.high_station
     )
     return {
         "web_mapping": boards.mapping_distinct(dims.mapping),
@@ -119,20 +124,29 @@ def publish_site(
     """Store observations, indices and daily worst below ``folder``, then write every table of the site.
 
     ``deliveries`` are all kept deliveries (missing values as nulls).  With ``days``, the days of the
-    newest ones, only what those can change is rebuilt; without, everything is.  Returns the names
-    of the published tables.
+    newest ones, only what those can change is rebuilt; without, everything is, and days stored before
+    that have no delivery any more are cleared.  Intermediate tables are removed at the end.  Returns
+    the names of the published tables.
     """
     spark = configure(deliveries.sparkSession)
+    with scratch(spark):
+        return _publish_site(spark, deliveries, dims, folder, as_of, days)
+
+
+def _publish_site(
+    spark: SparkSession, deliveries: DataFrame, dims: Dimensions, folder: str, as_of: Column, days: DataFrame | None
+) -> list[str]:
     path = {n: f"{folder.rstrip('/')}/{n}" for n in ("web_observations", "indices", "daily", "extents")}
-    changed = with_day(deliveries).select("day").distinct() if days is None else days.select("day").distinct()
-    changed = write_out(changed, "days")
+    if days is None:
+        stored = read_history(spark, path["web_observations"])
+        days = with_day(deliveries).select("day").union(with_day(stored).select("day"))
+    changed = write_out(days.where("day IS NOT NULL").select("day").distinct(), "changed")
     refresh_observations(deliveries, changed, path["web_observations"])
     clean = clean_sentinels(read_history(spark, path["web_observations"]))
-    refresh_indices(clean, changed, dims, path["indices"])
-    refresh_daily(spark.read.parquet(path["indices"]), changed, path["daily"])
-    refresh_extents(clean, changed, path["extents"])
-    daily, extents = spark.read.parquet(path["daily"]), aggregates.merge_extents(spark.read.parquet(path["extents"]))
-    tables = site_tables(clean, daily, extents, dims, as_of)
+    index = refresh_indices(clean, changed, dims, path["indices"])
+    daily = refresh_daily(index, changed, path["daily"])
+    extents = aggregates.merge_extents(refresh_extents(clean, changed, path["extents"]))
+    tables = site_tables(clean, index, daily, extents, dims, as_of)
     for name, table in tables.items():
         publish(table, f"{folder.rstrip('/')}/{name}")
     return ["web_observations", *tables]

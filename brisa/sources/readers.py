@@ -99,6 +99,13 @@ def read_history(spark: SparkSession, path: str, schema: StructType = schemas.OB
     return stack(spark.createDataFrame([], schema), spark.read.option("basePath", path).parquet(path))
 
 
+def read_days(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table stored by day, with the columns of ``like``; empty before its first row is stored."""
+    if not _exists(spark, path):
+        return like.limit(0)
+    return spark.read.schema(like.schema).parquet(path)
+
+
 def read_ingest_log(spark: SparkSession, path: str) -> DataFrame:
     """The run log: quoted CSV with a header; missing entries are written NA."""
     return spark.read.csv(path, header=True, schema=schemas.INGEST_LOG, nullValue="NA")

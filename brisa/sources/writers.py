@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from brisa import schemas
 from brisa.functions.numbers import null_to_sentinel
 from brisa.operators.joins import new_rows
+from brisa.session import write_out
 
 # The stored numeric type, at the widest precision Spark has.
 STORED_TYPES = {"value": "decimal(38,5)", "import_value": "decimal(38,5)"}
@@ -33,11 +34,6 @@ def publish(df: DataFrame, target: str, types: Mapping[str, str] | None = None)
     writer.parquet(target) if "/" in target else writer.saveAsTable(target)
 
 
-def publish_all(tables: Mapping[str, DataFrame], folder: str) -> None:
-    for name, df in tables.items():
-        publish(df, f"{folder.rstrip('/')}/{name}")
-
-
 def append_new(df: DataFrame, stored: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Append the rows whose keys are not stored yet."""
     new_rows(df, stored, keys).write.mode("append").parquet(target)
@@ -48,12 +44,26 @@ def with_day(df: DataFrame, date: str = "from_time") -> DataFrame:
     return df.withColumn("day", F.to_date(date))
 
 
-def save_days(df: DataFrame, path: str, *order: str) -> None:
+def _drop_days(spark: SparkSession, path: str, days: DataFrame) -> None:
+    """Delete the partitions of the given days; they are calendar days, so there are few."""
+    for row in days.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/day={row['day']}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def save_days(df: DataFrame, path: str, *order: str, rebuilt: DataFrame | None = None) -> None:
     """Replace the days (partition column ``day``) that occur in ``df`` and leave all others untouched.
 
-    Rows are gathered by day; adaptive execution splits a large day into several files of its
-    advisory size and puts small days into one task.  ``path`` must not be what ``df`` is read from.
+    With ``rebuilt``, the days that ``df`` is the whole of: those without rows any more are cleared.
+    Rows without a day are left out.  Rows are gathered by day; adaptive execution splits a large day
+    into several files of its advisory size and puts small days into one task.  ``path`` must not be
+    what ``df`` is read from.
     """
+    df = df.where("day IS NOT NULL")
+    if rebuilt is not None:
+        df = write_out(df, "days")  # evaluated once, for the rows and for the days that have any
+        gone = rebuilt.where("day IS NOT NULL").select("day").distinct()
+        _drop_days(df.sparkSession, path, new_rows(gone, df, ["day"]))
     (
         df.hint("rebalance", F.col("day"))
         .sortWithinPartitions("day", *order)
@@ -64,13 +74,13 @@ def save_days(df: DataFrame, path: str, *order: str) -> None:
     )
 
 
-def save_history(df: DataFrame, path: str, csv: str | None = None) -> None:
+def save_history(df: DataFrame, path: str, csv: str | None = None, rebuilt: DataFrame | None = None) -> None:
     """Store observations by the day of their begin, replacing only the days that occur.
 
     History is rebuilt from the kept deliveries, so a run that dies half way is repaired by running
     it again.
     """
-    save_days(with_day(df), path, "sampling_point_id", "from_time")
+    save_days(with_day(df), path, "sampling_point_id", "from_time", rebuilt=rebuilt)
     if csv:
         df.write.mode("overwrite").option("header", True).csv(csv)
 
@@ -117,12 +127,6 @@ def mark_failed(log: DataFrame, order: str = "time_begin", keys: Sequence[str] =
 
 
 def write_feed(items: DataFrame, path: str) -> None:
-    """Feed items as an XML document; the handful of items of a board goes into one file."""
-    (
-        items.coalesce(1)
-        .write.mode("overwrite")
-        .format("xml")
-        .option("rootTag", "channel")
-        .option("rowTag", "item")
-        .save(path)
-    )
+    """Feed items as an XML document, ``rss`` with one ``channel``; a board has a handful of items."""
+    channel = items.agg(F.collect_list(F.struct(*items.columns)).alias("item"))
+    channel.write.mode("overwrite").format("xml").option("rootTag", "rss").option("rowTag", "channel").save(path)

@@ -35,7 +35,7 @@ def stream_running_mean(
         .select("sampling_point_id", "hour", F.col("_row.value").alias("value"))
         .where((F.col("value") > floor) | F.col("value").isNull())
     )
-    millionths = (F.col("value").cast("decimal(18,6)") * 1_000_000).cast("bigint")
+    millionths = (F.col("value").try_cast("decimal(16,6)") * 1_000_000).cast("bigint")
     spans = (
         settled.withColumn("v", millionths)
         .groupBy(
@@ -52,7 +52,11 @@ def stream_running_mean(
 
 
 def stream_daily_worst(index: DataFrame, delay: str = "24 days") -> DataFrame:
-    """Worst index per day, station and pollutant; meant for update mode."""
+    """Worst index per day, station and pollutant, for a stream of settled hours; meant for update mode.
+
+    A maximum never goes down, so hours that a correction may still lower are not for this: rebuild
+    their days from the kept deliveries instead (:func:`brisa.streaming.deliveries.upsert_history`).
+    """
     day = F.window("date", "1 day").alias("_day")
     return (
         index.withWatermark("date", delay)

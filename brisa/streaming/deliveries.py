@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from brisa import schemas
 from brisa.operators.dedupe import latest_wins
-from brisa.operators.filters import listed_days
+from brisa.operators.filters import on_days
 from brisa.operators.joins import only_in, stack
 from brisa.plans.alerts import ingest_alerts
 from brisa.sources.readers import typed_drop
@@ -62,26 +62,25 @@ def keep_batch(batch: DataFrame, batch_id: int, path: str, partitions: Sequence[
     )
 
 
-def kept_batches(batch: DataFrame, path: str, days: Sequence | None = None) -> DataFrame:
-    """All kept rows, or those of some days: only the folders of these days are listed then."""
+def kept_batches(batch: DataFrame, path: str) -> DataFrame:
+    """All kept rows; filters on ``day`` and ``batch_id`` prune partitions."""
     schema = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
-    folders = [path] if days is None else [f"{path}/day={day}" for day in days]
-    return batch.sparkSession.read.schema(schema).option("basePath", path).parquet(*folders)
+    return batch.sparkSession.read.schema(schema).parquet(path)
 
 
 def upsert_history(deliveries: str, history: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: keep the batch, then rebuild the days it touches, newest delivery first."""
+    """``foreachBatch`` function: keep the batch, then rebuild the days it touches, newest delivery first.
+
+    The batch is evaluated once; its days are read from what was kept.  Rows without a time are kept
+    but belong to no day, so they never reach the history.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_day(batch)
-        days = listed_days(rows)
-        if days == []:
-            return
         keep_batch(rows, batch_id, deliveries)
-        kept = kept_batches(rows, deliveries, days)
-        if days is None:
-            kept = only_in(kept, kept.where(F.col("batch_id") == batch_id).select("day").distinct(), ["day"])
-        save_history(latest_wins(kept.drop("batch_id", "day")), history)
+        kept = kept_batches(rows, deliveries)
+        days = kept.where(F.col("batch_id") == batch_id).select("day").distinct()
+        save_history(latest_wins(on_days(kept, days).drop("batch_id", "day")), history)
 
     return write
 

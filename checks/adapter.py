@@ -24,14 +24,15 @@ BREAKS = [
 ]
 BANDS = [(k, f"CAT{k}", f"EN{k}", f"FR{k}", f"#{str(k) * 6}") for k in range(7)]
 # pos, Constituant, pollutant_id, notation, unite, web_pollutant, web_units, web_units_graph,
-# pollutant_name, period CAT, EN, FR; the second NO2 entry must never be taken.
+# pollutant_name, period CAT, EN, FR; the second entry of code 8 must never be taken,
+# though it sorts before the first.
 MAPPING = [
     (1, "view", 8, "NO2", "ug", "NO<sub>2</sub>", "&micro;g", "ug/m3", "Nitrogen dioxide", "1 h CAT", "1 h", "1 h FR"),
     (2, "click", 7, "O3", "ug", "O<sub>3</sub>", "&micro;g", "ug/m3", "Ozone", "1 h CAT", "1 h", "1 h FR"),
     (3, "purchase", 5, "PM10", "ug", "PM<sub>10</sub>", "&micro;g", "ug/m3", "Particles 10", "24 h CAT", "24 h", "24 h FR"),
     (4, "signup", 6001, "PM2.5", "ug", "PM<sub>2.5</sub>", "&micro;g", "ug/m3", "Particles 2.5", "24 h CAT", "24 h", "24 h FR"),
     (5, "error", 9054, "TEMP", "C", "T", "&deg;C", "C", "Temperature", "1 h CAT", "1 h", "1 h FR"),
-    (6, "view", 8, "NO2B", "ppb", "second", "second", "second", "second", "second", "second", "second"),
+    (6, "view", 8, "AAA", "!", "!second", "!second", "!second", "!second", "!second", "!second", "!second"),
     (7, "none", 1, "SO2", "ug", "SO<sub>2</sub>", "&micro;g", "ug/m3", "Sulphur dioxide", "1 h CAT", "1 h", "1 h FR"),
 ]
 MAPPING_COLUMNS = [
@@ -79,8 +80,8 @@ def mapping(spark: SparkSession) -> DataFrame:
 
 
 def stations(spark: SparkSession) -> DataFrame:
-    schema = "station_id string, web_name string, web_name_noaccents string, web_lat double, web_long double, web_global boolean"
-    return _frame(spark, STATIONS, schema)
+    schema = "pos int, station_id string, web_name string, web_name_noaccents string, web_lat double, web_long double, web_global boolean"
+    return _frame(spark, [(i, *row) for i, row in enumerate(STATIONS)], schema)
 
 
 def pairs(spark: SparkSession) -> DataFrame:
@@ -93,7 +94,7 @@ def pollen_thresholds(spark: SparkSession) -> DataFrame:
 
 
 def pollen_names(spark: SparkSession) -> DataFrame:
-    return _frame(spark, POLLEN_NAMES, "species string, type string, web_name_CAT string")
+    return _frame(spark, [(i, *row) for i, row in enumerate(POLLEN_NAMES)], "pos int, species string, type string, web_name_CAT string")
 
 
 def episode_thresholds(spark: SparkSession) -> DataFrame:

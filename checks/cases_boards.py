@@ -502,22 +502,22 @@ def temperature_inversion(spark, sf):
 
 STALE_SQL = """SELECT last_update, date_diff('hour', last_update, now_) / 1.0::DOUBLE AS count_h,
        date_diff('hour', last_update, now_) >= 3 AS old_data_bool
-FROM (SELECT max(date) AS last_update, (SELECT max(touched) FROM obs) AS now_ FROM conc0 WHERE value IS NOT NULL)"""
+FROM (SELECT max(date) AS last_update, (SELECT max(touched) FROM obs) AS now_ FROM conc WHERE value IS NOT NULL)"""
 
 
 def _fresh(spark, sf):
-    present = frames.conc0(spark, sf).where("value IS NOT NULL")
+    present = frames.conc(spark, sf).where("value IS NOT NULL")
     return boards.staleness(present, frames.as_of(adapter.obs(spark, sf)))
 
 
-@case("staleness", sql(STALE_SQL, "conc0"))
+@case("staleness", sql(STALE_SQL, "conc"))
 def staleness(spark, sf):
     return _fresh(spark, sf)
 
 
-@case("last_update", sql("SELECT max(date) AS last_update FROM conc0 WHERE value IS NOT NULL", "conc0"))
+@case("last_update", sql("SELECT max(date) AS last_update FROM conc WHERE value IS NOT NULL", "conc"))
 def last_update(spark, sf):
-    return aggregates.last_update(frames.conc0(spark, sf).where("value IS NOT NULL"))
+    return aggregates.last_update(frames.conc(spark, sf).where("value IS NOT NULL"))
 
 
 MESSAGES = {
@@ -539,7 +539,7 @@ SELECT t.id, timezone('Europe/Andorra', timezone('UTC', f.last_update)) AS last_
 FROM ({STALE_SQL}) f, inv i, (VALUES {rows}) t(id, lang, text_between_datetime, old_data_message, yes, no, more)"""
 
 
-@case("utils_rows", sql(_utils_sql(), "conc0"))
+@case("utils_rows", sql(_utils_sql(), "conc"))
 def utils_rows(spark, sf):
     inversion = boards.temperature_inversion(observations.temperatures(frames.measured(spark, sf)), "AD0940A", "AD0941A")
     return boards.utils_rows(_fresh(spark, sf), inversion, MESSAGES, "https://example.org/more")
@@ -549,12 +549,12 @@ def utils_rows(spark, sf):
     "utils_dated",
     sql(
         """SELECT t + INTERVAL 1 HOUR AS last_update, 3 AS margin, id, words || strftime(t + INTERVAL 1 HOUR, '%d-%m-%Y') || mid || strftime(t + INTERVAL 1 HOUR, '%H:%M') AS old_data_message, lang
-           FROM (SELECT max(date) AS t FROM conc0 WHERE value IS NOT NULL), (VALUES
+           FROM (SELECT max(date) AS t FROM conc WHERE value IS NOT NULL), (VALUES
              ('U1', 'CAT', 'Les dades es van actualitzar per &uacute;ltima vegada el ', ' a les '),
              ('U2', 'EN', 'The data were last updated on ', ' at '),
              ('U3', 'FR', 'Les donn&eacute;es ont &eacute;t&eacute; mises &agrave; jour pour la derni&egrave;re fois le ',
               ' &agrave; ')) v(id, lang, words, mid)""",
-        "conc0",
+        "conc",
     ),
 )
 def utils_dated(spark, sf):

@@ -56,7 +56,7 @@ def latest_file(spark, sf):
     "to_observations",
     sql(
         """
-SELECT 'SPO-AD0' || d.station || 'A-' || m.pollutant_id AS sampling_point_id,
+SELECT 'SPO-AD0' || d.station || 'A-' || coalesce(CAST(m.pollutant_id AS VARCHAR), 'NA') AS sampling_point_id,
        strftime(begin + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S+01:00') AS begin_position,
        strftime(begin + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S+01:00') AS end_position,
        d.value, 3 AS verification_flag, CASE WHEN etat IN ('A', 'R') THEN 1 ELSE -1 END AS validation_flag,
@@ -73,6 +73,27 @@ def to_observations(spark, sf):
     return observations.to_observations(rows, adapter.mapping(spark), touched, order="pos")
 
 
+@case(
+    "published_unknown",
+    sql(
+        """
+SELECT 'SPO-AD0' || station || 'A-NA' AS sampling_point_id, begin AS from_time, count(*) AS deliveries,
+       max(begin + (1 + seq % 4) * INTERVAL 1 HOUR) AS touched
+FROM drop_rows WHERE constituant NOT IN (SELECT Constituant FROM mapping) AND seq % 4 > 0 GROUP BY station, begin""",
+        "mapping",
+        "drop_rows",
+    ),
+)
+def published_unknown(spark, sf):
+    """Rows of a constituent that the mapping does not have: one per station and hour, not one for all stations."""
+    rows = readers.typed_drop(adapter.drop(spark, sf))
+    touched = F.col("begin") + F.make_dt_interval(hours=(1 + F.col("seq") % 4).cast("int"))
+    obs = observations.ingest(rows, adapter.mapping(spark), touched).where("sampling_point_id LIKE '%-NA'")
+    counts = obs.groupBy("sampling_point_id", "from_time").agg(F.count(F.lit(1)).alias("deliveries"))
+    published = observations.published_observations(obs).select("sampling_point_id", "from_time", "touched")
+    return published.join(counts, ["sampling_point_id", "from_time"])
+
+
 @case(
     "delivery_counts",
     "SELECT strftime(ts, '%Y-%m-%d') AS file, count(*) AS rows FROM events GROUP BY 1",

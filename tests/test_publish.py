@@ -86,3 +86,55 @@ def test_stored_observations_keep_their_schema(spark, tmp_path):
     publish.publish_site(obs, dimensions(spark), str(tmp_path), F.lit("2024-01-31 00:00:00").cast("timestamp"))
     stored = readers.clean_sentinels(readers.read_history(spark, f"{tmp_path}/web_observations"))
     assert stored.where("value IS NULL").count() > 0
+
+
+def _site(spark, obs, folder, days=None):
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    names = publish.publish_site(obs, dimensions(spark), str(folder), as_of, days)
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
+
+
+def _same(rows, a, b):
+    for name in a:
+        columns = [f"`{c}`" for c in sorted(a[name].columns)]
+        assert rows(a[name], *columns) == rows(b[name], *columns), name
+
+
+def test_a_withdrawn_day_leaves_every_table(spark, tmp_path, rows):
+    obs = adapter.obs(spark, "/root/testdata/sf0.001").drop("seq")
+    gone = F.to_date("from_time") == "2024-01-10"
+    corrected = obs.withColumn("value", F.when(gone, F.lit(-50.0)).otherwise(F.col("value")))
+    _site(spark, obs, tmp_path / "steps")
+    steps = _site(spark, corrected, tmp_path / "steps", obs.where(gone).select(F.to_date("from_time").alias("day")))
+    _same(rows, steps, _site(spark, corrected, tmp_path / "fresh"))
+    # A whole publication also drops days that no delivery has any more.
+    _same(rows, _site(spark, obs.where(~gone), tmp_path / "steps"), _site(spark, obs.where(~gone), tmp_path / "less"))
+
+
+def test_a_first_publication_without_a_plausible_row(spark, tmp_path):
+    obs = adapter.obs(spark, "/root/testdata/sf0.001").drop("seq").withColumn("value", F.lit(-50.0))
+    tables = _site(spark, obs, tmp_path)
+    assert tables["web_daily_aq_poll"].count() == 0 and tables["web_observations"].count() > 0
+
+
+def test_the_last_update_is_that_of_the_running_means(spark, tmp_path):
+    """Particles without a value for the last hours still have a running mean then."""
+    hours = spark.range(24).select(F.expr("timestamp'2024-01-30 00:00:00' + make_dt_interval(0, id)").alias("t"), "id")
+    obs = hours.select(
+        F.lit("SPO-AD0940A-5").alias("sampling_point_id"), F.lit("").alias("begin_position"), F.lit("").alias("end_position"),
+        F.when(F.col("id") < 20, F.lit(10.0)).alias("value"), F.lit(3).alias("verification_flag"), F.lit(1).alias("validation_flag"),
+        F.expr("t + interval 2 hours").alias("touched"), F.col("t").alias("from_time"), F.expr("t + interval 1 hour").alias("to_time"),
+        F.lit(None).cast("double").alias("import_value"),
+    )
+    row = _site(spark, obs, tmp_path)["web_utils"].first()
+    assert str(row["last_update"]) == "2024-01-31 01:00:00" and row["old_data_bool"] is False
+
+
+def test_nothing_is_left_behind(spark, tmp_path):
+    import os
+
+    from brisa.session import shared_folder
+
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    _site(spark, adapter.obs(spark, "/root/testdata/sf0.001").drop("seq"), tmp_path)
+    assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == before

@@ -65,7 +65,7 @@ def test_hot_key_is_split_in_a_lookup_beyond_the_broadcast_bound(spark, tiny_par
     dim = spark.range(0, 60_000).select(
         F.concat(F.lit("S"), F.col("id").cast("string")).alias("k"), F.col("id").alias("name")
     )
-    df = joins.lookup(hot(spark), dim, ("sampling_point_id", "k"), ["name"])
+    df = joins.lookup(hot(spark), dim, ("sampling_point_id", "k"), ["name"], "k")
     assert "skew=true" in run_plan(df)
     assert df.where("name IS NULL").count() == 0
 
@@ -149,9 +149,9 @@ def test_ids_are_dense_over_a_hot_order_prefix(spark):
 
 def test_dimension_of_unknown_size_is_counted_before_it_is_broadcast(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
-    assert "BroadcastHashJoin" in plan_of(joins.lookup(spark.range(10), rows, ("id", "k"), ["name"]))
+    assert "BroadcastHashJoin" in plan_of(joins.lookup(spark.range(10), rows, ("id", "k"), ["name"], "name"))
     monkeypatch.setattr(joins, "DIMENSION_ROWS", 1)
-    assert "SortMergeJoin" in plan_of(joins.lookup(spark.range(10), rows, ("id", "k"), ["name"]))
+    assert "SortMergeJoin" in plan_of(joins.lookup(spark.range(10), rows, ("id", "k"), ["name"], "name"))
 
 
 def test_plans_have_no_cross_join_and_no_python(spark):
@@ -186,3 +186,31 @@ def test_recent_rows_prune_stored_days(spark, tmp_path):
     whole = observations.pollutant_indices(stored, adapter.mapping(spark), adapter.breaks(spark))
     last = dedupe.at_latest(whole)
     assert sorted(map(tuple, current.collect())) == sorted(map(tuple, last.collect()))
+
+
+def test_a_lookup_needs_the_order_of_its_table(spark):
+    import pytest
+
+    dim = spark.createDataFrame([(2, 1, "a"), (1, 1, "b")], "pos int, k int, name string")
+    assert joins.lookup(spark.range(1, 2), dim, ("id", "k"), ["name"]).first()["name"] == "b"
+    with pytest.raises(ValueError):
+        joins.lookup(spark.range(1), dim.drop("pos"), ("id", "k"), ["name"])
+
+
+def test_rows_without_a_day_are_on_no_day(spark):
+    from brisa.operators.filters import on_days
+
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, None), (3, "2024-01-03")], "k int, d string").selectExpr("k", "CAST(d AS date) AS day")
+    for extra in (0, 20_000):  # there is no number of days at which this changes
+        more = spark.range(extra).selectExpr("date_add(date'1900-01-01', CAST(id AS int)) AS day")
+        days = rows.where("k < 3").select("day").union(more)
+        assert [r["k"] for r in on_days(rows, days).collect()] == [1]
+
+
+def test_values_that_are_no_numbers_count_as_missing(spark):
+    rows = spark.range(48).selectExpr(
+        "'s' AS station", "'PM10' AS pollutant", "timestamp'2024-01-01' + make_dt_interval(0, CAST(id AS int)) AS date",
+        "CASE id WHEN 24 THEN 1e13D WHEN 25 THEN double('NaN') WHEN 26 THEN double('Infinity') ELSE 10D END AS value",
+    )
+    means = [r["value"] for r in windows.running_mean(rows, 24).orderBy("date").collect()]
+    assert means[17:] == [10.0] * 31

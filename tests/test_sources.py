@@ -127,11 +127,11 @@ def test_run_log(spark, tmp_path):
 
 
 def test_feed_document(spark, tmp_path):
-    items = spark.createDataFrame([("T & U", "l", "l", "d", "p")], "title string, link string, guid string, description string, pubDate string")
+    items = spark.createDataFrame([("T & U", "l", "l", "d", "p"), ("V", "l", "l", "d", "p")], "title string, link string, guid string, description string, pubDate string")
     path = str(tmp_path / "feed")
     writers.write_feed(items, path)
-    back = spark.read.format("xml").option("rowTag", "item").load(path)
-    assert back.first()["title"] == "T & U"
+    back = spark.read.format("xml").option("rowTag", "rss").load(path).first()
+    assert [r["title"] for r in back["channel"]["item"]] == ["T & U", "V"]
 
 
 def test_append_new_dimension_rows(spark, tmp_path):
