@@ -19,7 +19,7 @@ from brisa.operators.dedupe import latest_wins
 from brisa.operators.filters import on_days
 from brisa.operators.joins import only_in, stack
 from brisa.plans.alerts import ingest_alerts
-from brisa.sources.readers import typed_drop
+from brisa.sources.readers import read_days, typed_drop
 from brisa.sources.writers import save_history, with_day
 
 # State that grows with the number of series lives in RocksDB on the executors' disks.
@@ -102,26 +102,30 @@ def alert_batches(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: alerts for a batch of runs, given the last run before it.
 
-    Batches are expected in time order, as the runs of a log are.
+    Batches are expected in time order, as the runs of a log are.  Below ``log``, ``runs`` keeps the
+    batches and ``last`` the last run of each key after each of them, so a batch reads itself and one
+    row per key, however long the log is.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keep_batch(batch, batch_id, log, partitions=())
-        kept = kept_batches(batch, log)
-        now = kept.where(F.col("batch_id") == batch_id).drop("batch_id")
-        before = kept.where(F.col("batch_id") < batch_id).drop("batch_id")
+        spark = batch.sparkSession
+        keep_batch(batch, batch_id, f"{log}/runs", partitions=())
+        now = kept_batches(batch, f"{log}/runs").where(F.col("batch_id") == batch_id).drop("batch_id")
+        states = read_days(spark, f"{log}/last", batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        earlier = states.where(F.col("batch_id") < batch_id)
+        before = earlier.where(F.col("batch_id") == earlier.select(F.max("batch_id")).scalar()).drop("batch_id")
+        runs = stack(before, now)
         columns = [F.col(c) for c in now.columns if c not in keys]
         last = (
-            before.groupBy(*keys)
+            runs.groupBy(*keys)
             .agg(F.max_by(F.struct(*columns), "time_begin").alias("_row"))
             .where("_row IS NOT NULL")
             .select(*keys, "_row.*")
         )
-        found = ingest_alerts(stack(last, now), keys)
+        keep_batch(last.select(*batch.columns), batch_id, f"{log}/last", partitions=())
         times = now.select(*keys, F.col("time_begin").alias("time"))
-        only_in(found, times, [*keys, "time"]).withColumn("batch_id", F.lit(batch_id)).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(alerts)
+        found = only_in(ingest_alerts(runs, keys), times, [*keys, "time"])
+        keep_batch(found, batch_id, alerts, partitions=())
 
     return write
 

@@ -140,3 +140,26 @@ def test_delivery_time_is_the_file_time(spark, tmp_path):
     writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
     touched = spark.read.parquet(str(tmp_path / "out")).first()["touched"]
     assert abs(touched - dt.datetime.fromtimestamp((tmp_path / "d" / "a.txt").stat().st_mtime)) < dt.timedelta(seconds=2)
+
+
+def test_an_alert_batch_reads_only_the_last_runs(spark, tmp_path):
+    log = adapter.runlog(spark, FOLDER).cache()
+    write = deliveries.alert_batches(str(tmp_path / "log"), str(tmp_path / "alerts"), ["feed"])
+    for k in range(3):
+        write(log.where(F.floor(F.datediff(F.to_date("time_begin"), F.lit("2024-01-01").cast("date")) / 10) == k), k)
+    kept = spark.read.parquet(f"{tmp_path}/log/last")
+    assert kept.groupBy("batch_id").count().where(f"count > {log.select('feed').distinct().count()}").count() == 0
+
+
+def test_rows_without_a_time_do_not_stop_the_history(spark, tmp_path):
+    from brisa.operators.dedupe import latest_wins
+
+    obs = adapter.obs(spark, FOLDER)
+    odd = obs.limit(3).withColumn("from_time", F.lit(None).cast("timestamp"))
+    write = deliveries.upsert_history(str(tmp_path / "kept"), str(tmp_path / "history"))
+    write(odd, 0)
+    write(obs.unionByName(odd), 1)
+    write(obs.limit(0), 2)
+    history = spark.read.parquet(f"{tmp_path}/history")
+    assert history.where("from_time IS NULL").count() == 0
+    assert history.count() == latest_wins(obs).count() > 0
