@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from checks.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
