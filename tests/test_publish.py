@@ -138,3 +138,21 @@ def test_nothing_is_left_behind(spark, tmp_path):
     before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
     _site(spark, adapter.obs(spark, "/root/testdata/sf0.001").drop("seq"), tmp_path)
     assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == before
+
+
+def test_one_run_writes_everything(spark, tmp_path):
+    from brisa.plans import job
+
+    sf = "/root/testdata/sf0.01"
+    raw = adapter.pollen(spark, sf).where("start_date LIKE '%/01/2024'")
+    old = spark.createDataFrame([], "measurement_date date, species string, measurement double, load_seq bigint")
+    week = job.Pollen(raw, old, 1, adapter.pollen_thresholds(spark), adapter.pollen_names(spark))
+    log = adapter.runlog(spark, sf).where("feed = 'view'")
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    obs = adapter.obs(spark, sf).drop("seq")
+    names = job.run_site(obs, dimensions(spark), str(tmp_path), as_of, "Andorra", "https://example.org/", week=week, log=log)
+    assert names[-5:] == ["message", "feed", "pollen_levels", "pollen_history", "alerts"]
+    assert "Andorra" in spark.read.parquet(f"{tmp_path}/message").first()["message"]
+    channel = spark.read.format("xml").option("rowTag", "rss").load(f"{tmp_path}/feed").first()["channel"]
+    assert channel["item"][0]["link"] == "https://example.org/"
+    assert all(spark.read.parquet(f"{tmp_path}/{n}").count() > 0 for n in names[-3:])
