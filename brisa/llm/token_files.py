@@ -62,7 +62,8 @@ def read_tokens(spark: SparkSession, path: str, doc_type: str = "bigint") -> Dat
     totals = rows.groupBy("part").agg(F.max(F.col("before") + F.size("ids")).alias("total"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("total").over(upto), F.lit(0)).alias("offset"))
-    return rows.join(offsets, "part").select("doc_id", (F.col("offset") + F.col("before")).alias("start"), F.size("ids").cast("long").alias("n_tokens"), "ids")
+    # As many rows as the writer had partitions, whatever the data: small enough to send to every task.
+    return rows.join(F.broadcast(offsets), "part").select("doc_id", (F.col("offset") + F.col("before")).alias("start"), F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 def with_crc(tokens: DataFrame) -> DataFrame:
