@@ -81,11 +81,11 @@ def _readable(raw: bytes) -> str | None:
 
 
 def _unpacked(raw: bytes, room: int) -> bytes | None:
-    """What zlib or gzip data holds, up to ``room`` bytes; none if it is no such data."""
+    """What zlib or gzip data holds, up to a byte more than there is room for; none if it is no such data."""
     if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0):
         return None
     try:
-        return zlib.decompressobj(47).decompress(raw, max(room, 1))
+        return zlib.decompressobj(47).decompress(raw, room + 1)
     except zlib.error:
         return None
 

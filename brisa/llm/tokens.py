@@ -66,7 +66,8 @@ class PieceEncoder:
         if tail not in self.tails:
             self.tails[tail] = self.whole([tail])[0]
         if self.lowers:
-            return self._merge(unicodedata.normalize("NFC", word).lower()) + self.tails[tail]
+            folded = unicodedata.normalize("NFC", word).lower()
+            return self._merge(folded) + self.tails[tail] if folded.isalpha() else None  # a few fold to more than letters
         if before == "\n":
             if before not in self.tails:
                 self.tails[before] = self.whole([before])[0]
