@@ -13,6 +13,13 @@ def _lowest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("low"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node, which hangs on none."""
+    ends = edges.select(F.posexplode(F.array("a", "b")).alias("low", "node"))
+    ends = ends.groupBy("node").agg(F.sum(1 - F.col("low")).alias("ups"), F.max("low").alias("low"))
+    return ends.where("ups > 1 or (ups = 1 and low = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; a component is named by its lowest node.
 
@@ -21,12 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
     lost executor never costs earlier rounds. Empty edges give no rows; loops and repeats don't matter.
     """
     now = write_out(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
+    while not _stars(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Large star: neighbours above a node hang on the lowest of the node and its neighbours.
         large = both.join(_lowest(both), "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct()

@@ -6,9 +6,10 @@ n-grams must share ceil(0.8 n) with any partner, so of its n-grams, in one order
 the incidence are cut to those prefixes. Blocks of the product are the columns (n-grams); what is left of a
 pair's overlap is bounded by both sizes and the place of the shared n-gram, and pairs below the bound go.
 
-Copies of one n-gram set are one row of the matrix. Within a block, documents are first multiplied with two of
-its members only; all that these connect needs no further product, and only pairs that are still apart are
-multiplied after that. No group is collected, and no group of like documents is expanded into its pairs.
+Copies of one n-gram set are one row of the matrix. Within a block, documents are first multiplied with one
+member only, that which has the block's n-gram earliest (of copies with changes mostly their source, which has no
+rare n-grams of its own before it); all that these connect needs no further product, and only pairs that are still
+apart are multiplied after that. No group is collected, and no group of like documents is expanded into its pairs.
 
 Edge cases: a null or wordless text has no n-grams and links with nothing; a text of fewer words than
 an n-gram has is one n-gram; repeated rows are copies. ``doc_id`` may be null or repeated (the smallest id of a group
@@ -142,45 +143,46 @@ def _postings(signed: DataFrame) -> DataFrame:
     return write_out(rows.distinct(), "postings")
 
 
-def _reachable(percent: int, a: str, b: str) -> Column:
+def _least(over: int, under: int, n: str) -> str:
+    """SQL for the whole number not below ``over * n / under``."""
+    return f"(({over} * {n} + {under - 1}) div {under})"
+
+
+def _reachable(percent: int, n_a: str, place_a: str, n_b: str, place_b: str) -> Column:
     """Whether sizes and the place of a shared n-gram leave the overlap that the threshold needs.
 
     From the first shared n-gram on, the overlap is at most what both sets have left; a true pair passes at
     that n-gram. overlap >= percent/100 * union, where union = n + n - overlap.
     """
-    most = F.least(F.expr(f"{a}.n - {a}.place"), F.expr(f"{b}.n - {b}.place"))
-    return most * (100 + percent) >= (F.expr(f"{a}.n + {b}.n")) * percent
-
-
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.least(F.col(f"{a}.node"), F.col(f"{b}.node")).alias("a"), F.greatest(F.col(f"{a}.node"), F.col(f"{b}.node")).alias("b")]
+    return F.expr(f"least({n_a} - {place_a}, {n_b} - {place_b}) * {100 + percent} >= ({n_a} + {n_b}) * {percent}")
 
 
-def _texts_of(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``(node, text)`` of the named sets (and a few more), one text for each."""
-    words = texts.sparkSession.sparkContext.broadcast(bloom.build(nodes, "node", nodes.count()))
+def _texts_of(pairs: DataFrame, texts: DataFrame, signed: DataFrame) -> DataFrame:
+    """``(node, text)`` of the sets in ``pairs``, one text for each."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = signed.select("node", "content").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("content").alias("content"))
+    named = write_out(named, "nodes")
+    words = texts.sparkSession.sparkContext.broadcast(bloom.build(named, "content", named.count()))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            named = [(row, node_of(s)) for row, s in enumerate(shingle_sets(batch, size)) if len(s)]
-            if named:
-                row, node = map(np.array, zip(*named))
-                kept = bloom.contains(words.value, node)
-                yield pa.RecordBatch.from_arrays([pa.array(node[kept]), batch.column("text").take(pa.array(row[kept]))], ["node", "text"])
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.contains(words.value, batch.column("content").to_numpy())))
 
-    return write_out(texts.select("text").mapInArrow(pick, "node long, text string").dropDuplicates(["node"]), "texts")
+    found = texts.select("content", "text").mapInArrow(pick, "content long, text string").dropDuplicates(["content"])
+    return write_out(named.join(found, "content").select("node", "text"), "texts")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets reach the threshold."""
+    texts = _texts_of(pairs, texts, signed)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, left = None, None
         for batch in slices(batches, "text_b"):
-            left, last = None, None
             kept = []
             b_sets = shingle_sets(pa.RecordBatch.from_arrays([batch.column("text_b")], ["text"]), size)
             for row, a in enumerate(batch.column("a").to_pylist()):
-                if a != last:  # pairs of one hub mostly follow each other
+                if a != last:  # the join on a leaves the pairs of a hub together
                     left = shingle_sets(pa.RecordBatch.from_arrays([batch.column("text_a").slice(row, 1)], ["text"]), size)[0]
                     last = a
                 small, large = sorted((left, b_sets[row]), key=len)
@@ -194,7 +196,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
 
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return write_out(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(multiply, "a long, b long"), "links")
+    return write_out(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(multiply, "a long, b long"), "links")
 
 
 def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -204,34 +206,32 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     signed = _signatures(texts, size, percent)
     postings = _postings(signed)
 
-    # Blocks with more than one set; two members of each, by two orders that have nothing to do with size.
-    member = F.struct(F.xxhash64("node").alias("order"), "node", "n", "place")
-    blocks = postings.groupBy("gram").agg(F.min(member).alias("low"), F.max(member).alias("high")).where("low.node <> high.node")
-    blocks = write_out(blocks, "blocks")
-    members = postings.join(blocks, "gram").withColumn("own", F.struct("node", "n", "place"))
-    stars = [
-        members.where(F.col("own.node") != F.col(f"{hub}.node")).where(_reachable(percent, "own", hub)).select(*_pair("own", hub))
-        for hub in ("low", "high")
-    ]
-    pairs = write_out(stars[0].union(stars[1]).distinct(), "pairs")
-    nodes = members.select("node").distinct()
-    picked = _texts_of(texts, write_out(nodes, "nodes"), size)
-    links = _linked(pairs, picked, size, percent)
+    # Blocks with more than one set, and the member of each with the earliest place (then any, by a hash).
+    order = F.shiftleft("place", 40) + F.shiftrightunsigned(F.xxhash64("node"), 24)
+    postings = postings.withColumn("order", order)
+    blocks = postings.groupBy("gram").agg(
+        F.count("*").alias("size"), F.min("order").alias("first"), F.min_by("node", "order").alias("hub"), F.min_by("n", "order").alias("hub_n")
+    )
+    blocks = blocks.where("size > 1").select("gram", "hub", F.struct(F.col("hub_n").alias("n"), F.shiftright("first", 40).alias("place")).alias("at"))
+    members = write_out(postings.drop("order").join(blocks, "gram"), "members")
+    stars = members.where("node <> hub").where(_reachable(percent, "n", "place", "at.n", "at.place"))
+    pairs = write_out(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    links = _linked(pairs, texts, signed, size, percent)
 
     # What is still apart within a block.
     found = components(links)
     apart = members.select("gram", "node", "n", "place").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = write_out(apart, "apart")
     mixed = apart.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    apart = apart.join(mixed.select("gram"), "gram", "left_semi").withColumn("own", F.struct("node", "n", "place", "component"))
-    x, y = apart.select("gram", F.col("own").alias("x")), apart.select("gram", F.col("own").alias("y"))
+    apart = apart.join(mixed.select("gram"), "gram", "left_semi")
     # The smaller side also has the shared n-gram within the shorter prefix that its larger partner leaves it.
-    short = F.expr(f"x.place <= x.n - ceil(2 * {percent} * x.n / {100 + percent}.0)")
-    more = x.join(y, "gram").where("x.component <> y.component and (x.n < y.n or (x.n = y.n and x.node < y.node))")
-    more = more.where(short).where(_reachable(percent, "x", "y")).select(*_pair("x", "y")).distinct()
-    more = write_out(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    x = apart.where(f"place <= n - {_least(2 * percent, 100 + percent, 'n')}").toDF(*[f"{c}_x" for c in apart.columns])
+    y = apart.toDF(*[f"{c}_y" for c in apart.columns])
+    near = x.join(y, F.col("gram_x") == F.col("gram_y")).where("component_x <> component_y and (n_x < n_y or (n_x = n_y and node_x < node_y))")
+    near = near.where(_reachable(percent, "n_x", "place_x", "n_y", "place_y")).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+    more = write_out(near.join(pairs.union(pairs.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        found = components(links.union(_linked(more, picked, size, percent)))
+        found = components(links.union(_linked(more, texts, signed, size, percent)))
 
     classes = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
