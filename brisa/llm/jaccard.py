@@ -8,8 +8,9 @@ pair's overlap is bounded by both sizes and the place of the shared n-gram, and
 
 Copies of one n-gram set are one row of the matrix. Within a block, documents are first multiplied with one
 member only, that which has the block's n-gram earliest (of copies with changes mostly their source, which has no
-rare n-grams of its own before it); all that these connect needs no further product, and only pairs that are still
-apart are multiplied after that. No group is collected, and no group of like documents is expanded into its pairs.
+rare n-grams of its own before it); all that these connect needs no further product. Of pairs that are still apart,
+the overlap is accumulated over both prefixes, and only those that can reach the threshold with all that is left are
+multiplied whole. No group is collected, and no group of like documents is expanded into its pairs.
 
 Edge cases: a null or wordless text has no n-grams and links with nothing; a text of fewer words than
 an n-gram has is one n-gram; repeated rows are copies. ``doc_id`` may be null or repeated (the smallest id of a group
@@ -157,6 +158,26 @@ def _reachable(percent: int, n_a: str, place_a: str, n_b: str, place_b: str) ->
     return F.expr(f"least({n_a} - {place_a}, {n_b} - {place_b}) * {100 + percent} >= ({n_a} + {n_b}) * {percent}")
 
 
+def _accumulated(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose overlap, accumulated over both prefixes, can still reach the threshold.
+
+    Of two prefixes, the one that ends first in the common order holds all that is shared up to its end, and
+    beyond that only the rest of its own set can be shared.
+    """
+    nodes = write_out(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    words = pairs.sparkSession.sparkContext.broadcast(bloom.build(nodes, "node", nodes.count()))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.contains(words.value, batch.column("node").to_numpy())))
+
+    heads = signed.where("n > 0").select("node", "n", "prefix").mapInArrow(pick, "node long, n long, prefix array<long>")
+    heads = write_out(heads.dropDuplicates(["node"]), "heads")
+    a, b = heads.toDF("a", "n_a", "prefix_a"), heads.toDF("b", "n_b", "prefix_b")
+    most = "size(array_intersect(prefix_a, prefix_b)) + greatest(n_a - size(prefix_a), n_b - size(prefix_b))"
+    return pairs.join(a, "a").join(b, "b").where(f"({most}) * {100 + percent} >= (n_a + n_b) * {percent}").select("a", "b")
+
+
 def _texts_of(pairs: DataFrame, texts: DataFrame, signed: DataFrame) -> DataFrame:
     """``(node, text)`` of the sets in ``pairs``, one text for each."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -229,7 +250,8 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     y = apart.toDF(*[f"{c}_y" for c in apart.columns])
     near = x.join(y, F.col("gram_x") == F.col("gram_y")).where("component_x <> component_y and (n_x < n_y or (n_x = n_y and node_x < node_y))")
     near = near.where(_reachable(percent, "n_x", "place_x", "n_y", "place_y")).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
-    more = write_out(near.join(pairs.union(pairs.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    near = write_out(near.join(pairs.union(pairs.select("b", "a")), ["a", "b"], "left_anti"), "near")
+    more = write_out(_accumulated(near, signed, percent), "pairs")
     if not more.isEmpty():
         found = components(links.union(_linked(more, texts, signed, size, percent)))
 
