@@ -2,6 +2,7 @@
 
 import base64
 import gzip
+import random
 import re
 import urllib.parse
 import zlib
@@ -76,3 +77,34 @@ def test_bombs_are_reported():
 def test_redaction_joins_overlaps():
     assert secrets.redacted("abcdefgh", [("hex", 1, 4), ("assign", 3, 6)]) == "a[SECRET]gh"
     assert secrets.redacted("abc", []) == "abc" and secrets.redacted("abc", [("hex", 0, 3)]) == "[SECRET]"
+
+
+def kinds(text):
+    found = secrets.scan_text(text)
+    assert found[2]
+    return {kind for kind, _, _ in found[1]}
+
+
+def test_no_layer_is_left_out_for_the_size_of_others():
+    """Layers after a bomb, the part of a bomb that is unpacked late, and what is encoded within it."""
+    bomb = base64.b64encode(zlib.compress(b"a " * (40 << 20))).decode()
+    plain = base64.b64encode(SECRET.encode()).decode()
+    assert kinds(f"{bomb} and {plain}") == {"assign"}
+    late = plain + " x" + " " * 9_000_000
+    assert kinds(base64.b64encode(zlib.compress(b", " * (34 << 20) + late.encode() + b" ," * 2_000_000)).decode()) == {"assign"}
+
+
+def test_pieces_change_nothing(monkeypatch):
+    """Whatever the place where a piece ends: matches, runs, escapes and compressed data go on in the next."""
+    rng = random.Random(5)
+    filler = ["word ", "a/b-c_d", "%2541", "&#65;", "\\u0041", " , ", "\n", "x", "  "]
+    for _ in range(25):
+        inner = base64.b64encode(zlib.compress(bytes(rng.randrange(256) for _ in range(4000)) + SECRET.encode())).decode()
+        for late in (SECRET, inner, SECRET.encode().hex(), urllib.parse.quote(base64.b64encode(SECRET.encode()).decode() + "=", safe="")):
+            body = "".join(rng.choices(filler, k=rng.randrange(900))) + " " + late + " " + "".join(rng.choices(filler, k=rng.randrange(900)))
+            text = f"see {base64.b64encode(zlib.compress(body.encode())).decode()} end"
+            whole = secrets.scan_text(text)
+            with monkeypatch.context() as context:
+                context.setattr(secrets, "PIECE", 2048)
+                assert secrets.scan_text(text) == whole
+            assert "assign" in {kind for kind, _, _ in whole[1]}
