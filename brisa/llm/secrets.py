@@ -6,7 +6,8 @@ base64 or hexadecimal digits, and zlib or gzip data within those) is decoded and
 characters. Escapes are edits over their layer, so the rest of the text keeps its place; anything within a run of
 digits stands for the whole run. A match in a layer is reported with the span of the document that it stands for.
 
-All patterns are ASCII: decoded bytes are searched one character for each.
+Base64 is decoded in both alphabets, over line breaks and from each of its first four characters, so what comes before the
+data in the same run, such as a path, hides nothing. All patterns are ASCII: decoded bytes are searched one character for each.
 
 No layer is left out. What data within a run unfolds to is worked on in pieces of ``PIECE`` bytes; matches, runs and compressed
 data that a piece ends in go on in the next, so memory follows the document and the piece, not what is unpacked. Only a
@@ -51,7 +52,11 @@ _ESCAPE = re.compile(
 )
 _UNFINISHED = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]?|\\(?:u005[cC]|x5[cC])*(?:[ux][0-9A-Fa-f]{0,3})?|&(?:#38;|#x26;)*(?:#x?[0-9A-Fa-f]{0,7})?)\Z")
 _SHORT = re.compile(r"(?<=[^A-Za-z0-9+/_\s-])\s*[A-Za-z0-9+/_-]{1,31}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{1,31}){0,7}\Z|(?<=[^A-Za-z0-9+/_-][^\S\r\n])[A-Za-z0-9+/_-]{1,31}\Z")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+# A run of either base64 alphabet, over line breaks; possessive, so that words are passed once.
+_BASE64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-]{1,15}[ \t]*\r?\n)"
+    r"[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}"
+)
 _DIGITS = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}")
 _PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
 _PLAIN = str.maketrans("-_", "+/", " \t\r\n=")
@@ -166,7 +171,7 @@ def _blocks(text: str) -> Iterator[tuple[int, int, bytes]]:
     for run in _BASE64.finditer(text):
         body = run[0].translate(_PLAIN)
         if len(body) >= 16:
-            for phase in range(1):
+            for phase in range(4):
                 raw = _decoded(body, phase)
                 if _WORTH.search(raw):
                     yield run.start(), run.end(), raw

@@ -108,3 +108,24 @@ def test_pieces_change_nothing(monkeypatch):
                 context.setattr(secrets, "PIECE", 2048)
                 assert secrets.scan_text(text) == whole
             assert "assign" in {kind for kind, _, _ in whole[1]}
+
+
+def test_base64_of_either_alphabet_over_lines_and_after_paths():
+    raw = b"config says ok~~~?? " + SECRET.encode()
+    url = base64.urlsafe_b64encode(raw).decode()
+    assert "-" in url and kinds(f"see {url} end") == {"assign"}
+    under = base64.urlsafe_b64encode(b"????????? " + SECRET.encode()).decode()
+    assert "_" in under and kinds(under) == {"assign"}
+    rng = random.Random(7)
+    noise = bytes(rng.randrange(256) for _ in range(300))
+    for data in (b"Some words before it, so that it is over the line: " + SECRET.encode(), zlib.compress(noise + SECRET.encode()), gzip.compress(noise + SECRET.encode())):
+        for encode in (base64.b64encode, base64.urlsafe_b64encode):
+            one = encode(data).decode()
+            for size in (20, 64, 76):
+                for stop in ("\n", "\r\n", "\n    "):
+                    lines = stop.join(one[i : i + size] for i in range(0, len(one), size))
+                    assert "assign" in kinds(f"as follows:\n{lines}\nend"), (size, stop)
+            for path in ("a/", "/srv/data/", "id-", "some_name_", "x/yz/"):
+                assert "assign" in kinds(f"see {path}{one} end"), path
+    wrapped = base64.encodebytes(raw * 3).decode()
+    assert "hunter2" not in secrets.redacted(f"a {wrapped} z", secrets.scan_text(f"a {wrapped} z")[1])
