@@ -7,7 +7,8 @@ characters. Escapes are edits over their layer, so the rest of the text keeps it
 digits stands for the whole run. A match in a layer is reported with the span of the document that it stands for.
 
 Base64 is decoded in both alphabets, over line breaks and from each of its first four characters, so what comes before the
-data in the same run, such as a path, hides nothing. All patterns are ASCII: decoded bytes are searched one character for each.
+data in the same run, such as a path, hides nothing. All patterns are ASCII: decoded bytes are searched one character for
+each, and as UTF-16 (and UTF-32) of either order if they have a NUL, which any such match has.
 
 No layer is left out. What data within a run unfolds to is worked on in pieces of ``PIECE`` bytes; matches, runs and compressed
 data that a piece ends in go on in the next, so memory follows the document and the piece, not what is unpacked. Only a
@@ -134,17 +135,13 @@ _ONE_PERCENT = re.compile(r"%((?:25(?=25))*)([0-9A-Fa-f]{2})")
 
 
 def _percents(text: str) -> list[tuple[int, int, str]]:
-    """Percent escapes, character by character of their UTF-8; runs that are not UTF-8 stay."""
+    """Percent escapes, character by character of their UTF-8; bytes that are no UTF-8 stay."""
     out = []
     if "%" not in text:
         return out
     for run in _PERCENT.finditer(text):
         marks = list(_ONE_PERCENT.finditer(text, *run.span()))
         raw = bytes(int(m[2], 16) for m in marks)
-        try:
-            raw.decode()
-        except UnicodeDecodeError:
-            continue
         i = 0
         while i < len(raw):
             lead = raw[i]
@@ -272,6 +269,14 @@ class Sink:
             self.follow(0, _BASE64, text, last)
             self.follow(1, _DIGITS, text, last)
         self.unpack(data, whole)
+        if self.wide < 2 and (self.wides or b"\0" in data):
+            if self.wides is None:
+                self.wides = [Sink(self.scan, self.span, self.wide + 1) for _ in range(4)]
+            for i in (0, 1):  # pairs that begin at even places and those at odd ones
+                raw = data[1:] if i and not self.count else self.last + data if (self.count - i) % 2 else data
+                pairs = np.frombuffer(raw[: len(raw) // 2 * 2], np.uint8).reshape(-1, 2)
+                for high in (0, 1):
+                    self.wides[2 * i + high].feed(np.where(pairs[:, high] == 0, pairs[:, 1 - high], 255).astype(np.uint8).tobytes())
         self.before, self.last, self.count = data[-4096:], data[-1:] or self.last, self.count + len(data)
         if last:
             for sink in (*self.edits, *(self.wides or ())):

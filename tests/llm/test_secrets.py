@@ -129,3 +129,25 @@ def test_base64_of_either_alphabet_over_lines_and_after_paths():
                 assert "assign" in kinds(f"see {path}{one} end"), path
     wrapped = base64.encodebytes(raw * 3).decode()
     assert "hunter2" not in secrets.redacted(f"a {wrapped} z", secrets.scan_text(f"a {wrapped} z")[1])
+
+
+def test_layers_of_any_characters_are_searched():
+    for raw in (
+        f"caf\u00e9\u00a0{SECRET}".encode(),
+        f"\ufeff{SECRET}".encode(),
+        f"\U0001f468\u200d\U0001f469 {SECRET}\f\x1b[31m\0".encode(),
+        b"\xe9\xff " + SECRET.encode() + b" \xfe",
+        SECRET.encode("utf-16"),
+        SECRET.encode("utf-16-be"),
+        b"x" + SECRET.encode("utf-16-le"),
+        SECRET.encode("utf-32"),
+        base64.b64encode(SECRET.encode()).decode().encode("utf-16"),
+    ):
+        for packed in (base64.b64encode(raw).decode(), base64.b64encode(zlib.compress(raw)).decode(), raw.hex()):
+            assert kinds(f"see {packed} end") >= {"assign"}, (raw, packed)
+
+
+def test_percent_runs_with_a_byte_that_is_no_utf_8():
+    escaped = "".join(f"%{b:02X}" for b in SECRET.encode())
+    assert kinds(f"a %E9{escaped}%FF b") == {"assign"}
+    assert kinds("".join(f"%{b:02x}" for b in "é\u20ac\U0001f600".encode()) + escaped + "%C3") == {"assign"}
