@@ -69,6 +69,40 @@ def test_licenses_and_inheritance(spark):
     assert licenses.scan(none).count() == 0
 
 
+def test_whole_licences_and_joined_headers(spark):
+    from pathlib import Path
+
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    kept = sorted(file.stem for file in (Path(licenses.__file__).parent / "license_texts").glob("*.txt"))
+    assert {"AGPL-3.0", "BSD-2-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "ISC", "MIT"} <= set(kept)
+    rows = [(f"sys-{n}/LICENSE", (folder / n).read_text()) for n in names if (folder / n).exists()]
+    rows += [(f"own-{n}/LICENSE", f"Copyright (c) 2021 Some One\n\n{(Path(licenses.__file__).parent / 'license_texts' / f'{n}.txt').read_text()}") for n in kept]
+    rows += [(p.replace("LICENSE", "src/x.c"), "int main;") for p, _ in rows]
+    gnu = "{0} This program is free software: you can redistribute it and/or modify\n{0} it under the terms of the GNU General Public License as published by\n{0} the Free Software Foundation, either version 3 of the License, or\n{0} (at your option) any later version.\n{0}\n{0} This program is distributed in the hope that it will be useful.\n"
+    two = gnu.replace("3 of", "2 of").replace("software:", "software;").replace("Foundation,", "Foundation;")
+    rows += [
+        ("h/gpl3.py", "#!/bin/python\n" + gnu.format("#") + "import os\n"),
+        ("h/gpl2.c", "/*\n * Copyright (C) 2020 Some One\n *\n" + two.format(" *") + " */\nint x;\n"),
+        ("h/lgpl.c", "/*\n" + two.replace("2 of", "2.1 of").replace("General", "Lesser General").replace("program", "library").format(" *") + " */\n"),
+        ("h/apache.js", '// Licensed under the Apache License, Version 2.0 (the "License");\n// you may not use this file except in compliance with the License.\n// You may obtain a copy of the License at\n//\n//     http://www.apache.org/licenses/LICENSE-2.0\n'),
+        ("h/mpl.c", "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */\n"),
+        ("h/spdx.c", "// SPDX-License-Identifier: GPL-2.0-or-later\n"),
+        ("h/prose.md", "It is the permission of the author to copy the text that is of use to the reader, and the work of the day is in the notes. " * 30),
+    ]
+    got = license_rows(spark, rows)
+    for path, _ in rows:
+        kind, _, rest = path.partition("-")
+        want = names.get(rest.split("/")[0], rest.split("/")[0])
+        if path.endswith("LICENSE"):
+            assert got[path]["is_file"] and got[path]["license"] == want, (path, got[path])
+        elif kind in ("sys", "own"):
+            assert got[path]["inherited"] == want, path
+    own = {p: (r["license"], r["is_file"]) for p, r in got.items() if p.startswith("h/")}
+    assert {p: n for p, (n, _) in own.items()} == {"h/gpl3.py": "GPL-3.0", "h/gpl2.c": "GPL-2.0", "h/lgpl.c": "LGPL-2.1", "h/apache.js": "Apache-2.0", "h/mpl.c": "MPL-2.0", "h/spdx.c": "GPL-2.0", "h/prose.md": None}
+    assert not own["h/gpl3.py"][1] or own["h/gpl3.py"][0] == "GPL-3.0"
+
+
 def test_pipeline_stages(spark, edge, empty, tmp_path):
     import corpus_pipeline
 
