@@ -7,12 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.operators.filters import newest_part
 from brisa.plans import alerts, boards, feed, observations, pollen
 from brisa.plans.publish import Dimensions, publish_site
 from brisa.session import scratch, write_out
-from brisa.sources.readers import clean_sentinels, read_history
-from brisa.sources.writers import publish, write_feed
+from brisa.sources.readers import clean_sentinels, read_days, read_history
+from brisa.sources.writers import publish, with_day, write_feed
 
 
 @dataclass(frozen=True)
@@ -48,7 +47,9 @@ def run_site(
         clean = clean_sentinels(read_history(spark, f"{folder}/web_observations"))
         current = observations.current_indices(clean, dims.mapping, dims.breaks)
         board = write_out(boards.map_board(current, dims.stations, dims.bands), "board")
-        shown = observations.concentrations(newest_part(clean), dims.mapping).where("value IS NOT NULL")
+        # The stored indices are those of all days: pollutants may be older than the newest row of any series.
+        like = with_day(observations.pollutant_indices(clean.drop("day"), dims.mapping, dims.breaks), "date")
+        shown = read_days(spark, f"{folder}/indices", like).where("value IS NOT NULL")
         updated = F.coalesce(shown.select(F.max("date")).scalar(), as_of)
         publish(feed.aqi_message(board, as_of, place), f"{folder}/message")
         write_feed(feed.feed_items(board, boards.station_rows(dims.stations), updated, link), f"{folder}/feed")

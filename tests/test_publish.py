@@ -156,3 +156,22 @@ def test_one_run_writes_everything(spark, tmp_path):
     channel = spark.read.format("xml").option("rowTag", "rss").load(f"{tmp_path}/feed").first()["channel"]
     assert channel["item"][0]["link"] == "https://example.org/"
     assert all(spark.read.parquet(f"{tmp_path}/{n}").count() > 0 for n in names[-3:])
+
+
+def test_the_feed_of_silent_analysers_keeps_its_last_update(spark, tmp_path):
+    """Temperatures go on for days after the last concentration, which is then the last update, not the present time."""
+    from brisa.plans import job
+
+    hours = spark.range(5 * 24).select(F.expr("timestamp'2024-01-25 00:00:00' + make_dt_interval(0, id)").alias("t"), "id")
+    series = F.explode(F.when(F.col("id") < 24, F.array(F.lit("SPO-AD0940A-5"), F.lit("SPO-AD0940A-9054"))).otherwise(F.array(F.lit("SPO-AD0940A-9054"))))
+    obs = hours.select("t", "id", series.alias("sampling_point_id")).select(
+        "sampling_point_id", F.lit("").alias("begin_position"), F.lit("").alias("end_position"),
+        F.lit(10.0).alias("value"), F.lit(3).alias("verification_flag"), F.lit(1).alias("validation_flag"),
+        F.expr("t + interval 2 hours").alias("touched"), F.col("t").alias("from_time"), F.expr("t + interval 1 hour").alias("to_time"),
+        F.lit(None).cast("double").alias("import_value"),
+    )
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    job.run_site(obs, dimensions(spark), str(tmp_path), as_of, "Andorra", "https://example.org/")
+    assert str(spark.read.parquet(f"{tmp_path}/web_utils").first()["last_update"]).startswith("2024-01-26 0")
+    items = spark.read.format("xml").option("rowTag", "rss").load(f"{tmp_path}/feed").first()["channel"]["item"]
+    assert {i["pubDate"][:16] for i in items} == {"Fri, 26 Jan 2024"}
