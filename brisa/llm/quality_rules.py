@@ -132,10 +132,14 @@ class Model:
 
 
 def _features(docs: DataFrame, log_size: int) -> DataFrame:
-    """``(label, part, slots, values)``: each text's share of n-grams per slot; only of sampled rows."""
+    """``(id, label, part, slots, values)``: each text's share of n-grams per slot; only of sampled rows, each id once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in slices(batches, "text"):
+            batch = batch.filter(pa.array([i not in seen and not seen.add(i) for i in batch.column("id").to_pylist()], pa.bool_()))
+            if not batch.num_rows:
+                continue
             data, offsets = text_bytes(batch.column("text"))
             words = Words(data, offsets)
             texts = len(offsets) - 1
@@ -152,10 +156,11 @@ def _features(docs: DataFrame, log_size: int) -> DataFrame:
             slots = [s.astype("<i4").tobytes() for s in np.split(key & ((1 << log_size) - 1), cuts)]
             values_ = [v.astype("<f4").tobytes() for v in np.split(value, cuts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("part"), pa.array(slots, pa.binary()), pa.array(values_, pa.binary())], ["label", "part", "slots", "values"]
+                [*[batch.column(n) for n in ("id", "label", "part")], pa.array(slots, pa.binary()), pa.array(values_, pa.binary())],
+                ["id", "label", "part", "slots", "values"],
             )
 
-    return docs.mapInArrow(run, "label int, part int, slots binary, values binary")
+    return docs.mapInArrow(run, "id string, label int, part int, slots binary, values binary")
 
 
 def _descend(x: tuple[np.ndarray, np.ndarray, np.ndarray], y: np.ndarray, size: int, steps: int, ridge: float) -> tuple[np.ndarray, float]:
@@ -195,8 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, log_size: int
     order = F.xxhash64(F.col("doc_id").cast("string"))
     picked = [clear.where(F.col("label") == label).orderBy(order, "doc_id").limit(sample) for label in (0, 1)]
     chosen = picked[0].union(picked[1]).select("doc_id", F.col("label").cast("int").alias("label"), F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)).cast("int").alias("part"))
-    rows = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label", "part")  # at most 2 * sample ids
-    found = _features(rows, log_size).toArrow().to_pydict()
+    # At most 2 * sample ids, and one text of each: the least by a hash. A repeated id, even a hot one, counts and costs like any other.
+    texts = only(docs, "doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "part").agg(F.min("hash").alias("hash"))
+    rows = texts.join(F.broadcast(one), ["doc_id", "hash"]).select(F.col("doc_id").cast("string").alias("id"), "text", "label", "part")
+    found = _features(rows, log_size).dropDuplicates(["id"]).toArrow().to_pydict()
     # Rows come back in any order: sort them, so that sums and so the model do not depend on it.
     rows = sorted(zip(found["part"], found["label"], found["slots"], found["values"]))
     held = [[r for r in rows if (r[0] == 0) == test] for test in (False, True)]

@@ -206,6 +206,25 @@ def test_quality_models_tell_junk(spark):
     assert all(abs(again[r["doc_id"]] - r["score"]) < 1e-9 for r in scored.collect())
 
 
+def test_a_repeated_id_is_one_row_of_the_quality_model(spark):
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    rows = [(i, " ".join(words[(i * k + k) % (3 if i % 2 else 6)] for k in range(1, 40))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    whole = quality_rules.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, log_size=12)
+    again = quality_rules.fit(spark.createDataFrame(rows + [rows[7]] * 400, "doc_id long, text string").repartition(5), labels, log_size=12)
+    assert (whole.weights == again.weights).all() and (whole.bias, whole.slope, whole.shift) == (again.bias, again.slope, again.shift)
+    # Of many texts under one id there is one.
+    sizes = []
+    many = spark.createDataFrame(rows + [(7, f"text {n} of the hot one") for n in range(400)], "doc_id long, text string").repartition(5)
+    descend = quality_rules._descend
+    quality_rules._descend = lambda x, y, *rest: sizes.append(len(y)) or descend(x, y, *rest)
+    try:
+        quality_rules.fit(many, labels, log_size=12)
+    finally:
+        quality_rules._descend = descend
+    assert 0 < sizes[0] <= 60
+
+
 def test_rules_of_a_printed_tree():
     printed = "If (feature 0 <= 1.5)\n If (feature 1 <= 2.0)\n  Predict: 0.0\n Else (feature 1 > 2.0)\n  Predict: 1.0\nElse (feature 0 > 1.5)\n Predict: 1.0\n"
     printed = "DecisionTree...\n" + "\n".join("  " + line for line in printed.splitlines())
