@@ -45,7 +45,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# The classifier, the decoding worklist and the tokenizer are not in SQL; tests/llm checks each stage by brute force.
+# The classifier, the decoding worklist and the tokenizer are not in SQL; tests/llm/test_pipeline.py checks each stage by brute force.
 ORACLE_SQL = None
 
 
