@@ -10,7 +10,8 @@ Copies of one n-gram set are one row of the matrix. Within a block, documents ar
 member only, that which has the block's n-gram earliest (of copies with changes mostly their source, which has no
 rare n-grams of its own before it); all that these connect needs no further product. Of pairs that are still apart,
 the overlap is accumulated over both prefixes, and only those that can reach the threshold with all that is left are
-multiplied whole. No group is collected, and no group of like documents is expanded into its pairs.
+multiplied whole. No group is collected. What one hub connects is never expanded into its pairs; what it leaves apart is joined
+within the block on the n-gram, up to all pairs that sizes and places allow.
 
 Edge cases: a null or wordless text has no n-grams and links with nothing; a text of fewer words than
 an n-gram has is one n-gram; repeated rows are copies. ``doc_id`` may be null or repeated (the smallest id of a group
