@@ -52,7 +52,10 @@ _owned: list[list[str]] = []
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove, at the end, what :func:`write_out` writes meanwhile; results must have been stored by then."""
+    """Remove, at the end, what :func:`write_out` writes meanwhile; results must have been stored by then.
+
+    What is written with ``kept`` outlives the innermost ``scratch``; the one around it, if any, removes it.
+    """
     _owned.append([])
     try:
         yield
@@ -62,7 +65,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def write_out(df: DataFrame, name: str) -> DataFrame:
+def write_out(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where a result must be fixed before it is read twice: the written table cuts the lineage, so
@@ -70,7 +73,8 @@ def write_out(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _owned:
-        _owned[-1].append(path)
+    owners = _owned[:-1] if kept else _owned
+    if owners:
+        owners[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
