@@ -18,12 +18,14 @@ from brisa.session import configure
 SLICE_BYTES = 1 << 20
 # Rows that Spark puts into one Arrow batch: long documents must not add up to hundreds of megabytes.
 ARROW_ROWS = 500
+ARROW_BYTES = 16 << 20
 
 
 def configure_arrow(spark: SparkSession) -> SparkSession:
     """The session's settings, and small Arrow batches for texts of any length."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

@@ -13,6 +13,7 @@ from brisa.llm import (
     decontamination,
     jaccard,
     licenses,
+    merkle,
     packing,
     quality_rules,
     rule_ensemble,
@@ -205,3 +206,71 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Documents have no paths of their own: a source is a root, with a directory for each thousand ids.
     path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+# crc32 of the decimal digits of an id, bit by bit with the reflected polynomial.
+CRC_SQL = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE rows AS (
+    SELECT *, {CRC_SQL} % 3 = 0 AS tampered,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS other
+    FROM documents
+), fields AS (
+    SELECT doc_id, lang, tampered,
+           coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+           coalesce(strlen(text) || ':' || text, '-') AS own, coalesce(strlen(other) || ':' || other, '-') AS changed
+    FROM rows
+), leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS g, sha256(head || own) AS leaf, CASE WHEN tampered THEN sha256(head || changed) END AS changed FROM fields
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), nodes AS (
+    SELECT g, 0 AS level, i, n, leaf AS node FROM placed
+    UNION ALL
+    SELECT g, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY g, level, i // 8, n
+), subroots AS (
+    SELECT g, level AS height, node AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+    SELECT 0 AS level, i, n, subroot AS node FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM upper WHERE n > 1 GROUP BY level, i // 8, n
+), top AS (
+    SELECT level AS height, node AS root FROM upper WHERE n = 1
+), siblings AS (
+    SELECT a.g, a.level, a.i, coalesce(string_agg(CASE WHEN b.i < a.i THEN b.node END, '' ORDER BY b.i), '') AS before,
+           coalesce(string_agg(CASE WHEN b.i > a.i THEN b.node END, '' ORDER BY b.i), '') AS after
+    FROM nodes a JOIN nodes b ON a.g = b.g AND a.level = b.level AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.g, a.level, a.i
+    UNION ALL
+    SELECT NULL, a.level, a.i, coalesce(string_agg(CASE WHEN b.i < a.i THEN b.node END, '' ORDER BY b.i), ''),
+           coalesce(string_agg(CASE WHEN b.i > a.i THEN b.node END, '' ORDER BY b.i), '')
+    FROM upper a JOIN upper b ON a.level = b.level AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.level, a.i
+), steps AS (
+    SELECT p.doc_id, p.g, p.leaf, p.i AS own, s.level AS step, s.before, s.after
+    FROM placed p JOIN siblings s ON s.g = p.g AND s.i = p.i // CAST(8 ** s.level AS BIGINT)
+    UNION ALL
+    SELECT p.doc_id, p.g, p.leaf, p.i, r.height + s.level, s.before, s.after
+    FROM placed p JOIN subroots r ON r.g = p.g JOIN siblings s ON s.g IS NULL AND s.i = r.i // CAST(8 ** s.level AS BIGINT)
+), paths AS (
+    SELECT g, own, string_agg(before || after, '' ORDER BY step) AS proof, list(before ORDER BY step) AS befores, list(after ORDER BY step) AS afters
+    FROM steps GROUP BY g, own
+), whole AS (
+    SELECT p.*, coalesce(proof, '') AS proof, coalesce(befores, []) AS befores, coalesce(afters, []) AS afters
+    FROM placed p LEFT JOIN paths w ON w.g = p.g AND w.own = p.i
+), folded AS (
+    SELECT g, i, 0 AS step, coalesce(changed, leaf) AS node, befores, afters FROM whole
+    UNION ALL
+    SELECT g, i, step + 1, sha256(befores[step + 1] || node || afters[step + 1]), befores, afters FROM folded WHERE step < len(befores)
+)
+SELECT w.doc_id, w.leaf, r.subroot, t.root, sha256(w.proof) AS proof_sha256, f.node AS folded_root, f.node = t.root AS verified
+FROM whole w JOIN subroots r ON r.g = w.g JOIN folded f ON f.g = w.g AND f.i = w.i AND f.step = len(f.befores), top t
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered={"text": lower}, when=third)
