@@ -15,6 +15,7 @@ from brisa.llm import (
     licenses,
     merkle,
     packing,
+    periods,
     quality_rules,
     rule_ensemble,
     secrets,
@@ -274,3 +275,69 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered={"text": lower}, when=third)
+
+
+PERIODS_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {CRC_SQL} AS h FROM documents
+), sizes AS (
+    SELECT *, len(w) AS n, h // 10 AS g, coalesce(h % 10 = 0 AND len(w) > 0, false) AS planted FROM docs
+), origins AS (
+    SELECT *, CASE WHEN planted THEN g % n END AS a, CASE WHEN planted THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM sizes
+), words AS (
+    SELECT r, i, w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS word FROM (SELECT *, unnest(range(n)) AS i FROM origins)
+), grid AS (
+    SELECT r, q, unnest(range(0, n - q, q)) AS i FROM (SELECT r, n, unnest(range(1, n // 4 + 1)) AS q FROM sizes)
+), same AS (
+    SELECT g.r, g.q, g.i FROM grid g JOIN words x ON x.r = g.r AND x.i = g.i JOIN words y ON y.r = g.r AND y.i = g.i + g.q AND y.word = x.word
+), likely AS (
+    SELECT DISTINCT x.r, x.q FROM same x JOIN same y ON y.r = x.r AND y.q = x.q AND y.i = x.i + x.q
+), matches AS (
+    SELECT l.r, l.q, x.i, x.i - row_number() OVER (PARTITION BY l.r, l.q ORDER BY x.i) AS island
+    FROM likely l JOIN words x ON x.r = l.r JOIN words y ON y.r = l.r AND y.i = x.i + l.q AND y.word = x.word
+), stretches AS (
+    SELECT r, q, min(i) AS start, count(*) + q AS length FROM matches GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT * FROM stretches s WHERE NOT EXISTS (
+        SELECT 1 FROM stretches d WHERE d.r = s.r AND d.q < s.q AND s.q % d.q = 0 AND d.start <= s.start AND d.start + d.length >= s.start + s.length)
+), found AS (
+    SELECT r, count(*) AS n_runs, first(start ORDER BY length DESC, start, q) AS start, max(length) AS length, first(q ORDER BY length DESC, start, q) AS period,
+           string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed
+    FROM runs GROUP BY r
+), gone AS (
+    SELECT DISTINCT r, unnest(range(start + q, start + length)) AS i FROM runs
+), kept AS (
+    SELECT w.r, string_agg(w.word, ' ' ORDER BY w.i) AS kept FROM words w LEFT JOIN gone g ON g.r = w.r AND g.i = w.i WHERE g.i IS NULL GROUP BY w.r
+)
+SELECT d.doc_id, coalesce(f.n_runs, 0) AS n_runs, f.start, CAST(f.length AS BIGINT) AS length, f.period, CAST(1000 * f.length // f.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(f.listed, '')) AS runs_sha256, sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN found f USING (r) LEFT JOIN kept k USING (r)
+"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` where a tenth of the documents, by a hash of their ids, repeat a stretch of their words up to the end."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(hashed / 10)
+
+    def repeated(words):
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        return F.when(n > 0, F.array_join(F.transform(places, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " "))
+
+    # An array of one holds the words, so they are cut once.
+    text = F.get(F.transform(F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))), repeated), F.lit(0))
+    return docs.select("doc_id", F.when(hashed % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs", PERIODS_SQL)
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(planted(table(spark, sf_dir, "documents")))
+    best = F.get(F.array_sort("runs", lambda x, y: F.when(x["length"] != y["length"], F.signum(y["length"] - x["length"])).when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(F.signum(x["period"] - y["period"])).cast("int")), F.lit(0))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])), "\n")
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("").alias("listed"), "collapsed")
+    return found.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    )
