@@ -20,10 +20,11 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.batches import configure_arrow, only
+from brisa.llm.ranks import numbered
 from brisa.session import scratch, write_out
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -83,27 +84,10 @@ def copied(leaf: bytes, path: list[tuple[bytes, bytes]]) -> bytes:
     return leaf
 
 
-def _numbered(nodes: DataFrame) -> DataFrame:
-    """``nodes(g, key, node, ...)`` with each row's place ``i`` in its group and the group's count ``n``.
-
-    Rows are range partitioned and sorted by group, key and node; what is counted afterwards is one row for each
-    group and partition that holds any of it, and a large group lies in many partitions.
-    """
-    place, order = F.monotonically_increasing_id(), ["g", "key", "node"]
-    ranged = nodes.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = write_out(ranged.withColumns({"part": F.shiftright(place, 33), "place": place.bitwiseAND(F.lit((1 << 33) - 1))}), "placed")
-    sizes = placed.groupBy("g", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("held"))
-    group = Window.partitionBy("g")
-    before = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("g", "part", "first", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"), F.sum("held").over(group).alias("n"))
-    rows = placed.join(sizes, ["g", "part"])
-    return rows.select("n", (F.col("before") + F.col("place") - F.col("first")).alias("i"), *[c for c in nodes.columns])
-
-
-def _blocks(numbered: DataFrame, *carried: str) -> DataFrame:
+def _blocks(nodes: DataFrame, *carried: str) -> DataFrame:
     """One row per aligned block: its members' nodes in order, and what is carried along with each."""
     member = F.struct((F.col("i") % BLOCK).alias("place"), "node", *carried)
-    gathered = numbered.groupBy("g", "n", F.floor(F.col("i") / BLOCK).alias("block")).agg(F.sort_array(F.collect_list(member)).alias("members"))
+    gathered = nodes.groupBy("g", "n", F.floor(F.col("i") / BLOCK).alias("block")).agg(F.sort_array(F.collect_list(member)).alias("members"))
     return gathered.select("g", "n", "block", *[F.col(f"members.{c}").alias(c) for c in ("node", *carried)])
 
 
@@ -209,12 +193,12 @@ def manifest(rows: DataFrame, fields: Sequence[str] = FIELDS, group: str = "lang
     )
     kind = rows.schema[key].dataType.simpleString()
     with scratch(spark):  # leaves and numbers go when the blocks are written
-        blocks = write_out(_blocks(_numbered(write_out(leaves, "leaves")), "key", "changed"), "blocks", kept=True)
+        blocks = write_out(_blocks(numbered(write_out(leaves, "leaves"), ["g"], ["key", "node"]), "key", "changed"), "blocks", kept=True)
     stages, subroots = _stages(blocks)
     subroots = write_out(subroots, "subroots")
     with scratch(spark):
         groups = subroots.select(F.lit("").alias("g"), F.col("g").alias("key"), "node", "stage")
-        upper = write_out(_blocks(_numbered(groups), "key", "stage"), "groups", kept=True)
+        upper = write_out(_blocks(numbered(groups, ["g"], ["key", "node"]), "key", "stage"), "groups", kept=True)
     upper_stages, top = _stages(upper)
     above = _paths(upper_stages, top.select("g", "stage", F.array().cast(PATH).alias("path"), F.col("node").alias("subroot"), F.col("node").alias("root")))
     tops = write_out(_group_paths(upper.join(above, ["g", "block"])), "tops")

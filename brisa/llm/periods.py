@@ -179,8 +179,9 @@ def _fragments(tiled: DataFrame) -> DataFrame:
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["row", "period", "low", "high"])
 
-    # Tiles of a long document are solved on many executors.
-    spread = tiled.where("size is not null").select("row", "size", "base", "words", "boundaries").repartition("row", "size", "base")
+    # Tiles of a long document are solved on many executors; a few bytes are seconds of work, so partitions are not merged by size.
+    count = int(tiled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = tiled.where("size is not null").select("row", "size", "base", "words", "boundaries").repartition(count, "row", "size", "base")
     return spread.mapInArrow(run, "row long, period long, low long, high long")
 
 

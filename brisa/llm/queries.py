@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brisa.llm import (
     chat,
+    curves,
     decontamination,
     jaccard,
     licenses,
@@ -341,3 +342,8 @@ def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
     )
+
+
+@query("op11_hilbert_neighbours")
+def hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
