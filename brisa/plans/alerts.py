@@ -33,14 +33,22 @@ def ingest_alerts(
     A run without a file gives ``no_data``; the next one with a file gives ``restablished``; a failed
     run gives ``fail``; runs at the fixed local hours of working days give ``alive``.
     """
-    runs = with_previous(log, "file_found", "previous_found", keys=keys)
+    return kinds_of(with_previous(log, "file_found", "previous_found", keys=keys), keys, texts, zone)
+
+
+def kinds_of(
+    runs: DataFrame, keys: Sequence[str] = (), texts: Mapping[str, str] = TEXTS, zone: str = timeutil.LOCAL_ZONE
+) -> DataFrame:
+    """(time, kind, text) of runs that know what the run before found; a ``silent`` row is a run that never came."""
     local = timeutil.local_time("time_begin", zone)
     sign_of_life = F.hour(local).isin(*ALIVE_HOURS) & (F.weekday(local) < 5)
+    if "silent" in runs.columns:
+        sign_of_life &= ~F.col("silent")
     cases = {
         "no_data": ~F.col("file_found"),
         "restablished": F.col("file_found") & ~F.col("previous_found"),
         "fail": F.col("error_script"),
-    "alive": sign_of_life,
+        "alive": sign_of_life,
     }
     kinds = F.filter(
         F.array(*[F.when(F.coalesce(test, F.lit(False)), F.lit(kind)) for kind, test in cases.items()]),

@@ -44,11 +44,16 @@ def with_day(df: DataFrame, date: str = "from_time") -> DataFrame:
     return df.withColumn("day", F.to_date(date))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _drop_days(spark: SparkSession, path: str, days: DataFrame) -> None:
     """Delete the partitions of the given days; they are calendar days, so there are few."""
     for row in days.toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/day={row['day']}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, f"{path.rstrip('/')}/day={row['day']}")
 
 
 def save_days(df: DataFrame, path: str, *order: str, rebuilt: DataFrame | None = None) -> None:

@@ -7,7 +7,7 @@ replay changes nothing and a run that dies half way is repaired by the next one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +18,10 @@ from brisa import schemas
 from brisa.operators.dedupe import latest_wins
 from brisa.operators.filters import on_days
 from brisa.operators.joins import only_in, stack
-from brisa.plans.alerts import ingest_alerts
+from brisa.plans.alerts import TEXTS, ingest_alerts, kinds_of
 from brisa.sources.readers import read_days, typed_drop
-from brisa.sources.writers import save_history, with_day
+from brisa.sources.writers import remove, save_history, with_day
+from brisa.streaming.state import LastRun
 
 # State that grows with the number of series lives in RocksDB on the executors' disks.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -97,14 +98,42 @@ def ingest_stream(
     )
 
 
+def stream_alerts(
+    log: DataFrame,
+    keys: Sequence[str],
+    patience: float | None = None,
+    by_clock: bool = False,
+    delay: str = "1 hour",
+    texts: Mapping[str, str] = TEXTS,
+) -> DataFrame:
+    """(keys, time, kind, text): alerts for a stream of runs, in update mode.
+
+    The state is the last run of each feed. With ``patience`` (minutes), a feed of which no run comes for so long after its last
+    one gives ``no_data`` once, without any new file, and its next run with a file gives ``restablished``.
+    The time that passes is the stream's own (the newest run of any feed less ``delay``), or the clock's with ``by_clock``.
+    """
+    runs = log.where("time_begin IS NOT NULL").withWatermark("time_begin", delay).select(
+        *keys, "time_begin", F.unix_micros("time_begin").alias("at"), F.coalesce("file_found", F.lit(False)).alias("file_found"),
+        F.coalesce("error_script", F.lit(False)).alias("error_script"),
+    )
+    kinds = ", ".join(f"`{k}` {log.schema[k].dataType.simpleString()}" for k in reversed(keys))
+    found = runs.groupBy(*keys).transformWithStateInPandas(
+        LastRun(tuple(keys), None if patience is None else int(patience * 60_000), by_clock),
+        f"{kinds}, at bigint, file_found boolean, error_script boolean, previous_found boolean, silent boolean",
+        "update",
+        "ProcessingTime" if by_clock else "EventTime",
+    )
+    return kinds_of(found.withColumn("time_begin", F.timestamp_micros("at")), keys, texts)
+
+
 def alert_batches(
     log: str, alerts: str, keys: Sequence[str] = ()
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: alerts for a batch of runs, given the last run before it.
 
     Batches are expected in time order, as the runs of a log are.  Below ``log``, ``runs`` keeps the
-    batches and ``last`` the last run of each key after each of them, so a batch reads itself and one
-    row per key, however long the log is.
+    batches and ``last`` the last run of each key after the newest batches, so a batch reads itself and one
+    row per key, however long the log is.  A replayed batch finds the runs from before it, as long as it is one of the last two.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -126,6 +155,8 @@ def alert_batches(
         times = now.select(*keys, F.col("time_begin").alias("time"))
         found = only_in(ingest_alerts(runs, keys), times, [*keys, "time"])
         keep_batch(found, batch_id, alerts, partitions=())
+        for old in states.where(F.col("batch_id") < batch_id - 1).select("batch_id").distinct().toLocalIterator():
+            remove(spark, f"{log}/last/batch_id={old['batch_id']}")
 
     return write
 
