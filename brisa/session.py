@@ -6,9 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Settings every pipeline needs: instants are handled in UTC, adaptive execution re-plans joins from
 # measured sizes and splits the partitions of hot keys (also when that costs one more exchange).
 # Where every measured partition of a side is within 64 MB, the join hashes it instead of sorting both
@@ -46,13 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-# Folders that write_out made inside scratch(), innermost last.
-_owned: list[list[str]] = []
+# Folders that write_out made and values that share sent inside scratch(), innermost last.
+_owned: list[list[str | Broadcast]] = []
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove, at the end, what :func:`write_out` writes meanwhile; results must have been stored by then.
+    """Remove, at the end, what :func:`write_out` writes and :func:`share` sends meanwhile; results must have been stored by then.
 
     What is written with ``kept`` outlives the innermost ``scratch``; the one around it, if any, removes it.
     """
@@ -60,11 +64,22 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _owned.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        for held in _owned.pop():
+            if isinstance(held, Broadcast):
+                held.destroy()
+                continue
+            folder = spark._jvm.org.apache.hadoop.fs.Path(held)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def share(spark: SparkSession, value: T) -> Broadcast[T]:
+    """Send a value of bounded size to every executor."""
+    sent = spark.sparkContext.broadcast(value)
+    if _owned:
+        _owned[-1].append(sent)
+    return sent
+
+
 def write_out(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from brisa.llm import decontamination, jaccard, packing, quality_rules, secrets
 from brisa.llm.queries import table
 from brisa.llm.tokens import tokenizer_path
-from brisa.session import configure, shared_folder
+from brisa.session import configure, scratch, shared_folder
+from brisa.sources.writers import remove
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
-    docs = table(configure(spark), sf_dir, "documents")
+    """All stages over the whole of ``documents``; what a stage wrote on the way goes when the next one has its documents."""
+    docs, before = table(configure(spark), sf_dir, "documents"), None
     for _, stage in STAGES:
         path = f"{shared_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
