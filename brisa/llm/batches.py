@@ -6,7 +6,8 @@ document, if that is larger) and never the partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brisa.session import configure
 
+T = TypeVar("T")
+
 SLICE_BYTES = 1 << 20
 # Rows that Spark puts into one Arrow batch: long documents must not add up to hundreds of megabytes.
 ARROW_ROWS = 500
@@ -29,8 +32,24 @@ def configure_arrow(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches by the bytes of a text column; a longer text is a slice of its own."""
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], T]) -> T:
+    """What tasks of one kind share in a worker; a task of another kind lets go of it, so workers do not add up what they have seen."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut batches by the bytes of a text column; a longer text is a slice of its own.
+
+    Unless told to ``keep`` it, what earlier tasks of the worker held goes first.
+    """
+    if not keep:
+        _held.clear()
     for batch in batches:
         if not batch.num_rows:
             continue

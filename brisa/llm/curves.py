@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from brisa.llm.batches import configure_arrow, only
 from brisa.llm.ranks import numbered
-from brisa.session import scratch, write_out
+from brisa.session import scratch, share, write_out
 
 K = 10
 CURVES = 4
@@ -135,7 +135,7 @@ def _ranked(classes: DataFrame, curves: int) -> DataFrame:
     # At most SAMPLE vectors come to the driver.
     sample = classes.orderBy(F.xxhash64("vec"), "lead").limit(SAMPLE).select("vec").toArrow()
     model = Curves([np.array(v.as_py(), np.float64) for v in sample.column("vec")], curves)
-    shared = classes.sparkSession.sparkContext.broadcast(model)
+    shared = share(classes.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa.llm.batches import byte_class, configure_arrow, fresh, only, slices
-from brisa.session import write_out
+from brisa.session import share, write_out
 
 WINDOW = 13
 # A document is contaminated if at least one word in this many is hit.
@@ -110,7 +110,7 @@ def _result(words: int, hits: dict, share: int) -> dict:
 
 def _pass(docs: DataFrame, items: list[tuple[str, bytes]], hits: str | None, to: str, last: bool, window: int, share: int) -> DataFrame:
     """Search one slice of items; ``hits`` has what earlier slices found, ``to`` gets the hits or the result."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = share(docs.sparkSession, items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_by = searches(shared.value, window)

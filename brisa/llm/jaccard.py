@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from brisa.llm import bloom
 from brisa.llm.batches import LOWER, Words, configure_arrow, fresh, gram_hashes, lists, only, slices, text_bytes
 from brisa.llm.graph import components
-from brisa.session import write_out
+from brisa.session import share, write_out
 
 SHINGLE, PERCENT = 5, 80
 # N-grams known as frequent, at most; they only set the order of the prefixes, so any bound is exact.
@@ -100,7 +100,7 @@ def in_order(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.n
 
 def _signatures(texts: DataFrame, size: int, percent: int) -> DataFrame:
     """``(doc_id, content, n, node, prefix)`` per row of ``texts(doc_id, content, text)``."""
-    frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, size))
+    frequent = share(texts.sparkSession, frequent_grams(texts, size))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -125,7 +125,7 @@ def _postings(signed: DataFrame) -> DataFrame:
     """``(gram, node, n, place)`` for prefix n-grams that may occur in two rows, once per set."""
     rows = signed.select(F.explode("prefix").alias("gram")).groupBy("gram").count().where("count > 1")
     shared = write_out(rows.select("gram"), "shared")
-    words = shared.sparkSession.sparkContext.broadcast(bloom.build(shared, "gram", shared.count()))
+    words = share(shared.sparkSession, bloom.build(shared, "gram", shared.count()))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +166,7 @@ def _accumulated(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame
     beyond that only the rest of its own set can be shared.
     """
     nodes = write_out(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    words = pairs.sparkSession.sparkContext.broadcast(bloom.build(nodes, "node", nodes.count()))
+    words = share(pairs.sparkSession, bloom.build(nodes, "node", nodes.count()))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +184,7 @@ def _texts_of(pairs: DataFrame, texts: DataFrame, signed: DataFrame) -> DataFram
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     named = signed.select("node", "content").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("content").alias("content"))
     named = write_out(named, "nodes")
-    words = texts.sparkSession.sparkContext.broadcast(bloom.build(named, "content", named.count()))
+    words = share(texts.sparkSession, bloom.build(named, "content", named.count()))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.batches import configure_arrow, only, slices
-from brisa.session import write_out
+from brisa.session import share, write_out
 
 # Notices by which files name their licence, and the opening or operative words of licence texts.
 NOTICES = {
@@ -223,7 +223,7 @@ def _frequencies(texts: DataFrame) -> tuple[dict[str, int], int]:
 def own_licenses(files: DataFrame) -> DataFrame:
     """``files(path, doc_id, text)`` as ``(doc_id, path, license, score, is_file)``: what each text says itself."""
     configure_arrow(files.sparkSession)
-    shared = files.sparkSession.sparkContext.broadcast((*_frequencies(files), whole_texts()))
+    shared = share(files.sparkSession, (*_frequencies(files), whole_texts()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, documents, wholes = shared.value

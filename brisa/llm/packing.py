@@ -14,7 +14,6 @@ Other columns are ignored. No rows give no rows.
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from brisa.llm.batches import configure_arrow, only, slices
 from brisa.llm.tokens import encoder
@@ -101,7 +101,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
                     offset += length
                 sequence += 1
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             id_type = batch.schema.field("doc_id").type
             texts = pc.fill_null(batch.column("text"), "").to_pylist()
             for doc, ids in zip(batch.column("doc_id").to_pylist(), model.encode(texts)):
@@ -132,11 +132,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
 
 def digest(packed: DataFrame) -> DataFrame:
     """The pieces with a checksum in place of their ids."""
-    kinds = [f for f in packed.schema.fields if f.name != "ids"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = pa.array([zlib.crc32(ids) for ids in batch.column("ids").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kinds], sums], [*[f.name for f in kinds], "ids_crc32"])
-
-    return packed.mapInArrow(run, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kinds] + ["ids_crc32 long"]))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

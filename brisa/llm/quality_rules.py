@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa.llm.batches import Words, byte_class, configure_arrow, fresh, gram_hashes, mix, only, powers, slices, text_bytes
+from brisa.session import share
 
 # Labelled rows of each label to fit on, at most; slots of the hash.
 SAMPLE, LOG_SIZE = 2000, 16
@@ -239,7 +240,7 @@ RESULT = T.StructType(
 def judge(docs: DataFrame, model: Model | None, to: str, keep: float = KEEP, log_size: int = LOG_SIZE) -> DataFrame:
     """``docs`` with a struct column ``to`` of :data:`RESULT`."""
     configure_arrow(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

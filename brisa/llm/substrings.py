@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from brisa.llm import bloom
 from brisa.llm.batches import Words, configure_arrow, gram_hashes, only, slices, text_bytes
-from brisa.session import write_out
+from brisa.session import share, write_out
 
 WINDOW, PREFIX = 35, 12
 # Records that one subtree is built from at most; with 24 suffixes each, some 20 MB of text.
@@ -71,7 +71,7 @@ def _records(texts: DataFrame, words_seen: np.ndarray, window: int, prefix: int)
     ``low`` and ``high`` are the first and last offset of its windows' starts before the anchor; ``words`` are
     the words from the first window's start to the last one's end; ``leaf`` names the record's content.
     """
-    seen = texts.sparkSession.sparkContext.broadcast(words_seen)
+    seen = share(texts.sparkSession, words_seen)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

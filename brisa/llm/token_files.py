@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brisa.llm.batches import configure_arrow, lists, only, slices
+from brisa.llm.batches import configure_arrow, only, slices
 from brisa.llm.tokens import encoder
 
 END_ID = 1
@@ -30,24 +30,25 @@ END_ID = 1
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode whole texts and write ``(doc_id, part, before, ids)`` to ``path``; ``tokenizer`` is a file on every executor."""
     configure_arrow(docs.sparkSession)
-    end = np.array([end_id], np.int32)
+    end = np.array([end_id], np.int32).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             texts = pc.fill_null(batch.column("text"), "").to_pylist()
-            rows = [np.concatenate([np.frombuffer(ids, np.int32), end]) for ids in model.encode(texts)]
-            ends = before + np.cumsum([len(r) for r in rows])
+            rows = model.encode(texts)
+            flat = np.frombuffer(end.join([*rows, b""]), np.int32)
+            ends = np.cumsum([0, *[len(r) // 4 + 1 for r in rows]])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(np.full(len(rows), part, np.int32)),
-                    pa.array(np.concatenate([[before], ends[:-1]])),
-                    lists(rows, pa.int32()),
+                    pa.array(before + ends[:-1]),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
                 ],
                 ["doc_id", "part", "before", "ids"],
             )
-            before = int(ends[-1])
+            before += int(ends[-1])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     ordered = only(docs, "doc_id", "text").orderBy("doc_id", F.length("text"), F.xxhash64("text"))

@@ -3,8 +3,8 @@
 Both tokenizers cut a text before they merge bytes, and no cut piece reaches from one word over white space into the word
 before it. A text whose white space is single spaces and line feeds is therefore cut before each of them,
 and the ids of the pieces follow each other; any other text is encoded whole. ``tests/llm`` compares both with
-whole texts. The memory of pieces is emptied when it would hold more than :data:`MOST_PIECES`. Strings of
-special tokens in a text are ordinary text.
+whole texts. A worker remembers pieces of up to :data:`LONGEST` bytes, whose memory is emptied when it would hold more than
+:data:`MOST_BYTES`. Strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ import os
 import re
 import unicodedata
 from array import array
-from functools import lru_cache
 
-MOST_PIECES = 1_000_000
+from brisa.llm.batches import held
+
+# What the memory of pieces may hold, with what Python needs for each, and the longest piece in it.
+MOST_BYTES, EACH, LONGEST = 160 << 20, 180, 256
 # A separator, Latin letters and a tail that no rule of either tokenizer joins to letters.
 _PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!?;:|*$%&#]*)")
 
@@ -34,6 +36,24 @@ def byte_letters() -> dict[int, str]:
     return {byte: chr(byte) for byte in prints} | {byte: chr(0x100 + place) for place, byte in enumerate(rest)}
 
 
+class _Known(dict):
+    """Ids of pieces, found by ``encode`` when first asked for."""
+
+    def __init__(self, encode):
+        self.encode, self.bytes = encode, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(piece)
+        size = len(piece) + len(ids)
+        if size <= LONGEST:
+            if self.bytes > MOST_BYTES:
+                self.clear()
+                self.bytes = 0
+            self[piece] = ids
+            self.bytes += size + EACH
+        return ids
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -46,8 +66,8 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None  # the one that folds case also drops white space
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
+        self.known = _Known(self._learned)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -55,7 +75,8 @@ class PieceEncoder:
 
     def _merge(self, word: str) -> bytes:
         """Ids of a run of letters, with at most one space before it: the model's merges without the cutting."""
-        mapped = "".join([self.letters[b] for b in word.encode()])
+        # ASCII letters and digits stand for themselves.
+        mapped = (word if word[0] != " " else self.letters[0x20] + word[1:]) if word.isascii() else "".join([self.letters[b] for b in word.encode()])
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def _piece(self, piece: str) -> bytes | None:
@@ -66,7 +87,7 @@ class PieceEncoder:
         if tail not in self.tails:
             self.tails[tail] = self.whole([tail])[0]
         if self.lowers:
-            folded = unicodedata.normalize("NFC", word).lower()
+            folded = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
             return self._merge(folded) + self.tails[tail] if folded.isalpha() else None  # a few fold to more than letters
         if before == "\n":
             if before not in self.tails:
@@ -83,37 +104,18 @@ class PieceEncoder:
             return flat.split(" ")
         return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
 
-    def _learn(self, pieces: list[str]) -> None:
-        known = self.known
-        new = {piece for piece in pieces if piece not in known}
-        if len(known) + len(new) > MOST_PIECES:
-            known.clear()
-            new = set(pieces)
-        odd = []
-        for piece in new:
-            ids = self._piece(piece)
-            if ids is None:
-                odd.append(piece)
-            else:
-                known[piece] = ids
-        known.update(zip(odd, self.whole(odd)))
+    def _learned(self, piece: str) -> bytes:
+        ids = self._piece(piece)
+        return self.whole([piece])[0] if ids is None else ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
+        known, out = self.known.__getitem__, []
         for text in texts:
             pieces = self.pieces(text)
-            if len(pieces) == 1:
-                out.append(self.whole(pieces)[0])
-                continue
-            try:
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
-            except KeyError:
-                self._learn(pieces)
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
+            out.append(self.whole(pieces)[0] if len(pieces) == 1 else b"".join(map(known, pieces)))
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
-    """One encoder per worker and tokenizer."""
-    return PieceEncoder(path)
+    """One encoder per worker, until tasks of another kind run there."""
+    return held(f"encoder {path}", lambda: PieceEncoder(path))
