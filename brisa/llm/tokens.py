@@ -79,21 +79,37 @@ class PieceEncoder:
         mapped = (word if word[0] != " " else self.letters[0x20] + word[1:]) if word.isascii() else "".join([self.letters[b] for b in word.encode()])
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of letters, with at most one separator before it; those of another tail are of no account."""
+        if self.lowers:
+            folded = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+            return self._merge(folded) if folded.isalpha() else b""  # a few fold to more than letters
+        if word[0] == "\n":
+            return self._tail("\n") + self._merge(word[1:])
+        return self._merge(word)
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = self.whole([tail])[0]
+        return self.tails[tail]
+
     def _piece(self, piece: str) -> bytes | None:
+        if piece.isascii() and piece.isalpha():
+            return self._merge(piece.lower() if self.lowers else piece)
         plain = _PLAIN.fullmatch(piece)
         if plain is None:
             return None
         before, word, tail = plain.groups()
-        if tail not in self.tails:
-            self.tails[tail] = self.whole([tail])[0]
+        end = self._tail(tail) if tail else b""
         if self.lowers:
             folded = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
-            return self._merge(folded) + self.tails[tail] if folded.isalpha() else None  # a few fold to more than letters
-        if before == "\n":
-            if before not in self.tails:
-                self.tails[before] = self.whole([before])[0]
-            return self.tails[before] + self._merge(word) + self.tails[tail]
-        return self._merge(before + word) + self.tails[tail]
+            return self._merge(folded) + end if folded.isalpha() else None  # a few fold to more than letters
+        return self._tail(before) + self._merge(word) + end if before == "\n" else self._merge(before + word) + end
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = self.whole([tail])[0]
+        return self.tails[tail]
 
     def pieces(self, text: str) -> list[str]:
         flat = text.replace("\n", " ")

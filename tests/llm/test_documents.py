@@ -154,6 +154,27 @@ def test_decontamination(spark, edge, empty, slice_bytes):
     assert decontamination.contamination(edge, benchmark.limit(0)).where("n_hit > 0 or contaminated").count() == 0
 
 
+def test_decontamination_tables_follow_the_benchmark(spark):
+    """Tables of a slice stay within a hundred megabytes for eight of text, and many slices find what one finds."""
+    rng = np.random.default_rng(8)
+    vocabulary = [prose(i, 1) + str(i) for i in range(3000)]
+    items = [(str(i), " ".join(vocabulary[j] for j in rng.integers(0, 3000, 400))) for i in range(3000)]
+    size = sum(len(t) for _, t in items)
+    tables = decontamination.Searches(items, decontamination.WINDOW)
+    assert size > 8_000_000 and tables.bytes < 100 * size / 8
+    docs, expected = [], []
+    for i in range(200):
+        words = items[i][1].split(" ")
+        lead = [vocabulary[j] + "x" for j in rng.integers(0, 3000, 20 + i)]
+        docs.append((i, " ".join([*lead, *words[i : i + 12 + i % 4], *lead])))
+        hit = 12 + i % 4 if i % 4 else 0
+        expected.append((i, 2 * len(lead) + 12 + i % 4, hit, int(hit > 0), 20 * hit >= 2 * len(lead) + 12 + i % 4 and hit > 0))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    found = decontamination.contamination(frame, benchmark, slice_bytes=size // 3)
+    same(found.select("doc_id", "n_words", "n_hit", "n_items", "contaminated"), expected)
+
+
 # --- quality rules and classifier -------------------------------------------------------------
 
 
