@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brisa.operators.filters import on_days
 from brisa.operators.joins import only_in
 
 SERIES_HOUR = ("sampling_point_id", "from_time")
@@ -111,16 +112,33 @@ def keep_newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return _best_row(df, keys, [F.col(c) for c in order])
 
 
-def latest_per_station(df: DataFrame, station: str = "station", date: str = "date") -> DataFrame:
+def newest_times(df: DataFrame, station: str = "station", date: str = "date", stored: DataFrame | None = None) -> DataFrame:
+    """(station, date): each station's newest time in ``df`` and, if given, in an earlier result that is kept.
+
+    With ``stored`` only the new rows have to be read; the kept table is one row per station.
+    """
+    newest = df.groupBy(station).agg(F.max(date).alias(date))
+    if stored is None:
+        return newest
+    return newest.unionByName(stored.select(station, date)).groupBy(station).agg(F.max(date).alias(date))
+
+
+def latest_per_station(
+    df: DataFrame, station: str = "station", date: str = "date", newest: DataFrame | None = None
+) -> DataFrame:
     """Rows at each station's own latest time; ties are kept.
 
-    The earliest of those times bounds the scan first: no row before it can qualify, so where the
-    stations report up to now only the newest rows reach the join.  ``df`` is read three times and
-    should be a stored table; where a station has one row per time, :func:`keep_newest` reads it once.
+    With ``newest`` (see :func:`newest_times`) ``df`` is read once, and of a table stored by day only the days on which some
+    station was last heard of: one that has been silent for years costs its one day. Without, ``df`` is read
+    twice, to find those times and to find their rows.
     """
-    latest = df.groupBy(station).agg(F.max(date).alias(date))
-    floor = latest.select(F.min(date)).scalar()
-    return only_in(df.where(F.col(date) >= floor), latest, [station, date])
+    if newest is None:
+        newest = newest_times(df, station, date)
+    elif "day" in df.columns:
+        # Stored rows lie on the day of an hour's begin, which ``date`` may be the end of.
+        begin = F.array(F.to_date(date), F.to_date(F.col(date) - F.make_dt_interval(hours=F.lit(1))))
+        df = on_days(df, newest.select(F.explode(begin).alias("day")))
+    return only_in(df, newest, [station, date])
 
 
 def at_latest(df: DataFrame, date: str = "date", of: DataFrame | None = None) -> DataFrame:

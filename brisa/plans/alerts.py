@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions import timeutil
+from brisa.operators.joins import sized
 from brisa.operators.windows import with_latest, with_previous
 
 # Kinds of alerts and what they say; ``{time}`` is filled in.
@@ -17,6 +18,7 @@ TEXTS = {
     "fail": "Processing the data received at {time} failed.",
     "no_update": "Data was received at {time}, but the published tables did not change.",
     "alive": "The pipeline is running at {time}.",
+    "alive_index": "The air quality at {time} is {band}, index {index} of 6.",
     "pollen": "The pollen file was processed at {time}.",
 }
 
@@ -58,6 +60,30 @@ def kinds_of(
     return found.select(*keys, F.col("time_begin").alias("time"), "kind", alert_text(texts).alias("text"))
 
 
+def with_air_quality(alerts: DataFrame, country: DataFrame, texts: Mapping[str, str] = TEXTS, zone: str = timeutil.LOCAL_ZONE) -> DataFrame:
+    """Signs of life that say the country's index of their hour; without one they stay as they are.
+
+    ``country`` has (date, aqi, band): the index of the hour that ends at ``date``.
+    """
+    hourly = country.where("aqi IS NOT NULL").groupBy(F.date_trunc("hour", "date").alias("_hour")).agg(F.max(F.struct("aqi", "band")).alias("_now"))
+    found = alerts.withColumn("_at", F.date_trunc("hour", "time")).join(sized(hourly), F.col("_at") == F.col("_hour"), "left")
+    said = F.replace(F.lit(texts["alive_index"]), F.lit("{time}"), F.date_format(timeutil.local_time("time", zone), "dd/MM/yyyy HH:mm"))
+    said = F.replace(F.replace(said, F.lit("{band}"), F.coalesce("_now.band", F.lit(""))), F.lit("{index}"), F.floor("_now.aqi").cast("string"))
+    text = F.when((F.col("kind") == "alive") & F.col("_now").isNotNull(), said).otherwise(F.col("text"))
+    return found.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in alerts.columns])
+
+
+def unchanged_alerts(runs: DataFrame, published: DataFrame, keys: Sequence[str] = (), texts: Mapping[str, str] = TEXTS) -> DataFrame:
+    """``no_update`` for runs that found data while the published tables kept their last update.
+
+    ``published`` has (time_begin, last_update) of the publication after each run.
+    """
+    both = runs.where("file_found").select(*keys, "time_begin").join(published.select(*keys, "time_begin", "last_update"), [*keys, "time_begin"])
+    known = with_previous(both, "last_update", "_before", keys=keys)
+    same = known.where(F.col("last_update") <= F.col("_before")).withColumns({"kind": F.lit("no_update"), "_local": timeutil.local_time("time_begin")})
+    return same.select(*keys, F.col("time_begin").alias("time"), "kind", alert_text(texts).alias("text"))
+
+
 def alert_text(texts: Mapping[str, str] = TEXTS, kind: str = "kind", local: str = "_local") -> Column:
     """The text of an alert kind with its local time; kinds without a text give null."""
     template = None

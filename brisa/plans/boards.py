@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brisa.functions import text, timeutil
@@ -248,12 +248,35 @@ def calendar(daily: DataFrame, bands: DataFrame) -> DataFrame:
     return assign_ids(daily_rows(daily, bands), ["day", "station", "pollutant"], "pAQ")
 
 
+def numbered_by_day(rows: DataFrame, offsets: DataFrame, order: Sequence[str], prefix: str) -> DataFrame:
+    """Rows of some days with the ids that a numbering of all days by day and ``order`` gives them.
+
+    ``offsets`` has (day, before): how many rows the days before hold. A day's rows are numbered by themselves, so
+    no other day is read or sorted.
+    """
+    place = F.row_number().over(Window.partitionBy("day").orderBy(*order))
+    # One row per calendar day.
+    found = rows.withColumn("_place", place).join(sized(offsets), "day")
+    return found.select(F.concat(F.lit(prefix), (F.col("before") + F.col("_place")).cast("string")).alias("id"), *[F.col(f"`{c}`") for c in rows.columns])
+
+
+def day_offsets(counts: DataFrame) -> DataFrame:
+    """(day, rows, before) from (day, rows): prefix sums over one row per calendar day."""
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("day", "rows", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+
+
+def moved_days(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Days of ``new`` (see :func:`day_offsets`) whose rows have other numbers than in ``old``, or none there."""
+    return new.join(old.select("day", F.col("before").alias("_before")), "day", "left").where(~F.col("before").eqNullSafe(F.col("_before"))).select("day")
+
+
 def calendar_common(board: DataFrame) -> DataFrame:
     return calendar_order(board.select("id", "station", "day", "pollutant", "aqi_color"))
 
 
-def calendar_lang(board: DataFrame) -> DataFrame:
-    return to_lang_rows(board, ["id"], {"pollutant_band": "index_band_", "aqi_band": "aqi_band_"})
+def calendar_lang(board: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    return to_lang_rows(board, list(keys), {"pollutant_band": "index_band_", "aqi_band": "aqi_band_"})
 
 
 def country_calendar(daily: DataFrame, stations: DataFrame | None, bands: DataFrame) -> DataFrame:
@@ -262,12 +285,17 @@ def country_calendar(daily: DataFrame, stations: DataFrame | None, bands: DataFr
     return assign_ids(index_bands(aggregates.daily_country(daily, dim), bands, "country_aqi"), ["day"], "GAQ")
 
 
+def country_days(daily: DataFrame, stations: DataFrame, bands: DataFrame) -> DataFrame:
+    """:func:`country_calendar` without the numbers."""
+    return index_bands(aggregates.daily_country(daily, station_rows(stations)), bands, "country_aqi")
+
+
 def country_common(board: DataFrame) -> DataFrame:
     return board.select("id", "day", floor_int(F.col("country_aqi")).alias("country_aqi"), "country_aqi_color")
 
 
-def country_lang(board: DataFrame) -> DataFrame:
-    return to_lang_rows(board, ["id"], {"band": "country_aqi_band_"})
+def country_lang(board: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    return to_lang_rows(board, list(keys), {"band": "country_aqi_band_"})
 
 
 def daily_bands(daily_table: DataFrame, bands: DataFrame, lang: str = "EN") -> DataFrame:

@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions import timeutil
 from brisa.operators import aggregates
 from brisa.operators.filters import newest_part, on_days
+from brisa.operators.joins import new_rows, stack
 from brisa.operators.reshape import expected_pairs
 from brisa.plans import boards, observations
 from brisa.schemas import OBSERVATIONS
 from brisa.session import configure, scratch, write_out
-from brisa.sources.readers import clean_sentinels, read_days, read_history
-from brisa.sources.writers import publish, save_days, save_history, with_day, with_sentinels
+from brisa.sources.readers import clean_sentinels
+from brisa.sources.sites import Folder, changing
+from brisa.sources.writers import with_day, with_sentinels
 
 
 @dataclass(frozen=True)
@@ -35,11 +37,12 @@ class Dimensions:
     high_station: str
 
 
-def refresh_observations(deliveries: DataFrame, days: DataFrame, path: str) -> None:
+def refresh_observations(deliveries: DataFrame, days: DataFrame, site: Folder) -> None:
     """Rebuild the published observations of the given days from all kept deliveries."""
     rows = on_days(deliveries if "day" in deliveries.columns else with_day(deliveries), days)
     clean = observations.published_observations(rows.drop("day"))
-    save_history(with_sentinels(clean.select(*[f.name for f in OBSERVATIONS.fields])), path, rebuilt=days)
+    stored = with_day(with_sentinels(clean.select(*[f.name for f in OBSERVATIONS.fields])))
+    site.save_days("web_observations", stored, "sampling_point_id", "from_time", rebuilt=days)
 
 
 def _around(days: DataFrame, first: int, last: int) -> DataFrame:
@@ -48,7 +51,7 @@ def _around(days: DataFrame, first: int, last: int) -> DataFrame:
     return days.select(F.explode(F.transform(offsets, lambda n: F.date_add("day", n))).alias("day")).distinct()
 
 
-def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, path: str) -> DataFrame:
+def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, site: Folder) -> DataFrame:
     """Rebuild the stored indices that a change on the given days can reach, and return all that are stored.
 
     Running means look back less than a day: they change on a day and the next, and the hours they
@@ -58,32 +61,65 @@ def refresh_indices(clean: DataFrame, days: DataFrame, dims: Dimensions, path: s
     index = observations.pollutant_indices(rows.drop("day"), dims.mapping, dims.breaks)
     stored = with_day(index.withColumn("_begin", timeutil.add_hours("date", -1)), "_begin").drop("_begin")
     reached = _around(days, 0, 1)
-    save_days(on_days(stored, reached), path, "station", "date", rebuilt=reached)
-    return read_days(clean.sparkSession, path, stored)
+    site.save_days("indices", on_days(stored, reached), "station", "date", rebuilt=reached)
+    return site.days("indices", stored)
 
 
-def refresh_daily(index: DataFrame, days: DataFrame, path: str) -> DataFrame:
-    """Rebuild the daily worst of the days that :func:`refresh_indices` can have changed, and return all days.
+def refresh_daily(index: DataFrame, days: DataFrame, site: Folder) -> tuple[DataFrame, DataFrame]:
+    """Rebuild the daily worst of the days that :func:`refresh_indices` can have changed; returns all days and those.
 
     The last hour that begins on a day ends on the next one and belongs to its calendar day.
     """
     rows = on_days(index, _around(days, -1, 2)).drop("day")
     daily, reached = boards.daily_wide(rows), _around(days, 0, 2)
-    save_days(on_days(daily, reached), path, "station", rebuilt=reached)
-    return read_days(index.sparkSession, path, daily)
+    site.save_days("daily", on_days(daily, reached), "station", rebuilt=reached)
+    return site.days("daily", daily), reached
 
 
-def refresh_extents(clean: DataFrame, days: DataFrame, path: str) -> DataFrame:
+def refresh_calendars(daily: DataFrame, days: DataFrame, dims: Dimensions, site: Folder) -> None:
+    """Rebuild the calendars of the given days, and of those behind them whose numbers move.
+
+    Each day has its row counts stored. Numbers are prefix sums of these and a row's place in its day, so days
+    move only if an earlier one has gained or lost rows, and no other day is read.
+    """
+    per_day = len(boards.POLLUTANT_ORDER)
+    fresh = on_days(daily, days)
+    world = boards.country_days(fresh, dims.stations, dims.bands).select("day").withColumn("country", F.lit(1))
+    counts = fresh.groupBy("day").agg((F.count(F.lit(1)) * per_day).alias("rows")).join(world, "day", "left")
+    counts = counts.select("day", "rows", F.coalesce("country", F.lit(0)).cast("bigint").alias("country"))
+    before = write_out(site.whole("calendar_days", counts), "counts")
+    after = write_out(stack(new_rows(before, days, ["day"]), counts), "counts")
+    site.replace("calendar_days", after)
+    for column, name, rows, common, lang, order, prefix in (
+        ("rows", "web_daily_aq_poll", _by_pollutant, boards.calendar_common, boards.calendar_lang, ["station", "pollutant"], "pAQ"),
+        ("country", "web_daily_aq_global", _country, boards.country_common, boards.country_lang, ["country_aqi"], "GAQ"),
+    ):
+        old, new = (boards.day_offsets(c.where(F.col(column) > 0).select("day", F.col(column).alias("rows"))) for c in (before, after))
+        rebuilt = write_out(days.select("day").union(boards.moved_days(old, new)).distinct(), "rebuilt")
+        board = write_out(boards.numbered_by_day(rows(on_days(daily, rebuilt), dims), new, order, prefix), "calendar")
+        site.save_days(name, common(board), "id", rebuilt=rebuilt)
+        site.save_days(f"{name}_lang", lang(board, ("id", "day")), "id", rebuilt=rebuilt)
+
+
+def _by_pollutant(daily: DataFrame, dims: Dimensions) -> DataFrame:
+    return boards.daily_rows(daily, dims.bands)
+
+
+def _country(daily: DataFrame, dims: Dimensions) -> DataFrame:
+    return boards.country_days(daily, dims.stations, dims.bands)
+
+
+def refresh_extents(clean: DataFrame, days: DataFrame, site: Folder) -> DataFrame:
     """Rebuild the stored first and last hours of each series on the given days, and return those of all days."""
     extents = aggregates.series_extent(on_days(clean, days), ("day", "sampling_point_id"))
-    save_days(extents, path, "sampling_point_id", rebuilt=days)
-    return read_days(clean.sparkSession, path, extents)
+    site.save_days("extents", extents, "sampling_point_id", rebuilt=days)
+    return site.days("extents", extents)
 
 
 def site_tables(
-    clean: DataFrame, index: DataFrame, daily: DataFrame, extents: DataFrame, dims: Dimensions, as_of: Column
+    clean: DataFrame, index: DataFrame, extents: DataFrame, dims: Dimensions, as_of: Column
 ) -> dict[str, DataFrame]:
-    """Name -> table, from stored observations, their stored summaries and the present time.
+    """Name -> table that is written as a whole, from stored observations, their stored summaries and the present time.
 
     The latest boards read the last hours of the observations and the graph their last days. The last
     update is the last hour with any concentration after running means, as the boards show them.
@@ -92,8 +128,6 @@ def site_tables(
     pairs = expected_pairs(dims.pollutants_stations)
     latest = boards.latest_board(current, dims.mapping, pairs, dims.bands)
     on_map = boards.map_board(current, dims.stations, dims.bands)
-    by_pollutant = boards.calendar(daily, dims.bands)
-    country = boards.country_calendar(daily, dims.stations, dims.bands)
     freshness = boards.staleness(index.where("value IS NOT NULL"), as_of)
     sites = boards.inversion_readings(observations.temperatures(clean), dims.low_station, dims.high_station)
     inversion = boards.temperature_inversion(
@@ -111,45 +145,46 @@ def site_tables(
         "web_map_lang": boards.map_lang(on_map),
         "web_observations_graph": observations.graph_rows(clean, as_of, sentinel=True),
         "web_utils": boards.utils_rows(freshness, inversion, dims.inversion_messages, dims.more_info_url),
-        "web_daily_aq_poll": boards.calendar_common(by_pollutant),
-        "web_daily_aq_poll_lang": boards.calendar_lang(by_pollutant),
-        "web_daily_aq_global": boards.country_common(country),
-        "web_daily_aq_global_lang": boards.country_lang(country),
     }
 
 
+CALENDARS = ["web_daily_aq_poll", "web_daily_aq_poll_lang", "web_daily_aq_global", "web_daily_aq_global_lang"]
+
+
 def publish_site(
-    deliveries: DataFrame, dims: Dimensions, folder: str, as_of: Column, days: DataFrame | None = None
+    deliveries: DataFrame, dims: Dimensions, folder: str, as_of: Column, days: DataFrame | None = None, whole: bool = False
 ) -> list[str]:
     """Store observations, indices and daily worst below ``folder``, then write every table of the site.
 
     ``deliveries`` are all kept deliveries (missing values as nulls).  With ``days``, the days of the
     newest ones, only what those can change is rebuilt; without, everything is, and days stored before
-    that have no delivery any more are cleared.  Intermediate tables are removed at the end.  Returns
-    the names of the published tables.
+    that have no delivery any more are cleared.  Intermediate tables are removed at the end.  With ``whole``,
+    readers (:func:`brisa.sources.sites.read`) see all tables change at once, or none if the run fails; without, each
+    table is overwritten where it lies.  Returns the names of the published tables.
     """
     spark = configure(deliveries.sparkSession)
-    with scratch(spark):
-        return _publish_site(spark, deliveries, dims, folder, as_of, days)
-
-
-def _publish_site(
-    spark: SparkSession, deliveries: DataFrame, dims: Dimensions, folder: str, as_of: Column, days: DataFrame | None
-) -> list[str]:
-    path = {n: f"{folder.rstrip('/')}/{n}" for n in ("web_observations", "indices", "daily", "extents")}
-    if days is None:
-        stored = read_history(spark, path["web_observations"])
-        days = with_day(deliveries).select("day").union(with_day(stored).select("day"))
-    changed = write_out(days.where("day IS NOT NULL").select("day").distinct(), "changed")
-    refresh_observations(deliveries, changed, path["web_observations"])
-    clean = clean_sentinels(read_history(spark, path["web_observations"]))
-    index = refresh_indices(clean, changed, dims, path["indices"])
-    daily = refresh_daily(index, changed, path["daily"])
-    extents = aggregates.merge_extents(refresh_extents(clean, changed, path["extents"]))
-    tables = site_tables(clean, index, daily, extents, dims, as_of)
-    for name, table in tables.items():
-        publish(table, f"{folder.rstrip('/')}/{name}")
-    return ["web_observations", *tables]
+    if not whole:
+        return publish_to(Folder(spark, folder), deliveries, dims, as_of, days)
+    with changing(spark, folder) as site:
+        return publish_to(site, deliveries, dims, as_of, days)
+
+
+def publish_to(site: Folder, deliveries: DataFrame, dims: Dimensions, as_of: Column, days: DataFrame | None = None) -> list[str]:
+    """:func:`publish_site` into a plain folder or a change."""
+    with scratch(site.spark):
+        if days is None:
+            days = with_day(deliveries).select("day").union(with_day(site.history("web_observations")).select("day"))
+        changed = write_out(days.where("day IS NOT NULL").select("day").distinct(), "changed")
+        refresh_observations(deliveries, changed, site)
+        clean = clean_sentinels(site.history("web_observations"))
+        index = refresh_indices(clean, changed, dims, site)
+        daily, reached = refresh_daily(index, changed, site)
+        refresh_calendars(daily, write_out(reached, "reached"), dims, site)
+        extents = aggregates.merge_extents(refresh_extents(clean, changed, site))
+        tables = site_tables(clean, index, extents, dims, as_of)
+        for name, table in tables.items():
+            site.replace(name, table)
+    return ["web_observations", *tables, *CALENDARS]
 
 
 def as_of_now() -> Column:

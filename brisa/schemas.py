@@ -80,3 +80,9 @@ BANDS = _schema(
     ("web_band_FR", StringType()),
     ("web_color", StringType()),
 )
+
+# Partition columns of stored tables.
+DAY = StructField("day", DateType(), True)
+RUN = StructField("run", StringType(), True)
+
+STORED_DAY = StructType([*OBSERVATIONS.fields, DAY])

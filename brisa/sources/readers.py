@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from brisa import schemas
 from brisa.functions import timeutil
 from brisa.functions.numbers import decimal_comma, sentinel_to_null
-from brisa.operators.joins import only_in, sized, stack
+from brisa.operators.joins import POSITION, only_in, sized, stack
 
 
 def typed_drop(raw: DataFrame) -> DataFrame:
@@ -49,12 +49,35 @@ def read_pollen(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.csv(path, schema=schemas.POLLEN_WEEK, header=False)
 
 
+def with_positions(rows: DataFrame, columns: Sequence[str], out: str = POSITION) -> DataFrame:
+    """Number the rows of files (a plain read of CSV) 1, 2, 3 … in the order of files and lines.
+
+    A large file is read in blocks, several of them one after the other in a task. Rows of a block follow each other, so a
+    row's number is the count of the blocks before its own and its place behind the block's first row.
+    """
+    block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    placed = rows.select(*columns, *block, F.monotonically_increasing_id().alias("_row"))
+    # One row per block.
+    blocks = placed.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_row") - F.col("_first") + 1
+    return placed.join(F.broadcast(blocks), ["_file", "_block"]).select(*columns, number.alias(out))
+
+
 def read_dim(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """A dimension table: parquet, or CSV with a header.  ``pos`` is not added; give one in the table."""
-    if path.rstrip("/").endswith(".csv"):
-        reader = spark.read.option("header", True)
-        return reader.schema(schema).csv(path) if schema else reader.csv(path)
-    return spark.read.parquet(path)
+    """A dimension table: parquet, or a CSV sheet with a header.
+
+    A sheet without a ``pos`` of its own gets its rows' places in the file, which lookups go by. A parquet table has
+    no order: it must have its ``pos``.
+    """
+    if not path.rstrip("/").endswith(".csv"):
+        return spark.read.parquet(path)
+    reader = spark.read.option("header", True)
+    sheet = reader.schema(schema).csv(path) if schema else reader.csv(path)
+    if POSITION in sheet.columns:
+        return sheet
+    return with_positions(sheet, [f"`{c}`" for c in sheet.columns])
 
 
 def load_dims(spark: SparkSession, folder: str, names: Sequence[str], kind: str = "parquet") -> dict[str, DataFrame]:

@@ -69,14 +69,12 @@ def save_days(df: DataFrame, path: str, *order: str, rebuilt: DataFrame | None =
         df = write_out(df, "days")  # evaluated once, for the rows and for the days that have any
         gone = rebuilt.where("day IS NOT NULL").select("day").distinct()
         _drop_days(df.sparkSession, path, new_rows(gone, df, ["day"]))
-    (
-        df.hint("rebalance", F.col("day"))
-        .sortWithinPartitions("day", *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(path)
-    )
+    by_day(df, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def by_day(df: DataFrame, *order: str) -> DataFrame:
+    """Rows gathered by day in partitions of the advisory size, in order within a day."""
+    return df.hint("rebalance", F.col("day")).sortWithinPartitions("day", *order)
 
 
 def save_history(df: DataFrame, path: str, csv: str | None = None, rebuilt: DataFrame | None = None) -> None:
@@ -132,6 +130,6 @@ def mark_failed(log: DataFrame, order: str = "time_begin", keys: Sequence[str] =
 
 
 def write_feed(items: DataFrame, path: str) -> None:
-    """Feed items as an XML document, ``rss`` with one ``channel``; a board has a handful of items."""
+    """Feed items as an RSS 2.0 document with one channel; a board has a handful of items."""
     channel = items.agg(F.collect_list(F.struct(*items.columns)).alias("item"))
-    channel.write.mode("overwrite").format("xml").option("rootTag", "rss").option("rowTag", "channel").save(path)
+    channel.write.mode("overwrite").format("xml").option("rootTag", 'rss version="2.0"').option("rowTag", "channel").save(path)

@@ -20,6 +20,8 @@ from brisa.operators.filters import on_days
 from brisa.operators.joins import only_in, stack
 from brisa.plans.alerts import TEXTS, ingest_alerts, kinds_of
 from brisa.sources.readers import read_days, typed_drop
+from brisa.session import scratch, write_out
+from brisa.sources.sites import Kept
 from brisa.sources.writers import remove, save_history, with_day
 from brisa.streaming.state import LastRun
 
@@ -69,29 +71,33 @@ def kept_batches(batch: DataFrame, path: str) -> DataFrame:
     return batch.sparkSession.read.schema(schema).parquet(path)
 
 
-def upsert_history(deliveries: str, history: str) -> Callable[[DataFrame, int], None]:
+def upsert_history(deliveries: str, history: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: keep the batch, then rebuild the days it touches, newest delivery first.
 
     The batch is evaluated once; its days are read from what was kept.  Rows without a time are kept
-    but belong to no day, so they never reach the history.
+    but belong to no day, so they never reach the history.  Every ``compact_every`` batches the kept ones become
+    one set of files per day (:class:`brisa.sources.sites.Kept`), so a day never has more small files than that.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = with_day(batch)
-        keep_batch(rows, batch_id, deliveries)
-        kept = kept_batches(rows, deliveries)
-        days = kept.where(F.col("batch_id") == batch_id).select("day").distinct()
-        save_history(latest_wins(on_days(kept, days).drop("batch_id", "day")), history)
+        kept, rows = Kept(batch.sparkSession, deliveries), with_day(batch)
+        with scratch(batch.sparkSession):
+            rows = write_out(rows, "batch")
+            kept.keep(rows, batch_id)
+            days = write_out(rows.select("day").distinct(), "days")
+            save_history(latest_wins(on_days(kept.all(rows), days).drop("day")), history)
+        if batch_id - kept.state().notes.get("upto", -1) >= compact_every:
+            kept.compact(rows)
 
     return write
 
 
 def ingest_stream(
-    observations: DataFrame, deliveries: str, history: str, checkpoint: str
+    observations: DataFrame, deliveries: str, history: str, checkpoint: str, compact_every: int = 100
 ) -> StreamingQuery:
     """Run the upsert for everything that has arrived so far."""
     return (
-        observations.writeStream.foreachBatch(upsert_history(deliveries, history))
+        observations.writeStream.foreachBatch(upsert_history(deliveries, history, compact_every))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

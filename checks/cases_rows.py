@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from brisa.functions import text
 from brisa.operators import dedupe, filters, joins, reshape, windows
 from brisa.operators.aggregates import delivery_counts
-from brisa.plans import observations
-from brisa.sources import readers, writers
+from brisa.plans import observations, stored
+from brisa.session import shared_folder
+from brisa.sources import readers, sites, writers
+from brisa.sources.writers import with_day
 from checks import adapter, frames
 from checks.adapter import sql
-from checks.registry import case
+from checks.registry import SQL, case
 
 NAMES = ["NO2", "O3", "PM10", "PM2.5", "SO2"]
 ROW = "sampling_point_id, from_time, to_time, touched, value, verification_flag, validation_flag, seq"
@@ -458,6 +462,21 @@ def reconcile(spark, sf):
     return observations.reconcile(rows.where("verification_flag = 1"), rows, series)
 
 
+@case("reconcile_days", SQL["reconcile"])
+def reconcile_days(spark, sf):
+    """The same from a table stored by day, into which three deliveries of some days each are merged."""
+    rows = frames.kept(spark, sf)
+    series = filters.pollutants(rows).select("sampling_point_id").distinct()
+    folder = f"{shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    with sites.changing(spark, folder) as site:
+        held = with_day(rows.where("verification_flag = 1").select(stored.COLUMNS))
+        stored.store(site, held, held.select("day"))
+    for k in range(3):
+        with sites.changing(spark, folder) as site:
+            stored.reconcile_days(site, rows.where(F.pmod(F.dayofyear("from_time"), F.lit(3)) == k), series)
+    return stored.stored_observations(sites.Change(spark, folder))
+
+
 # --- lookups and joins ----------------------------------------------------------------------------
 
 

@@ -149,3 +149,74 @@ def test_columns_missing_in_one_load(spark):
     a = spark.createDataFrame([(1, 2)], "x int, y int")
     b = spark.createDataFrame([(3,)], "x int")
     assert sorted(tuple(r) for r in stack(a, b).collect()) == [(1, 2), (3, None)]
+
+
+def test_a_sheet_is_numbered_over_blocks(spark, tmp_path):
+    """A CSV sheet without positions gets them from its lines, also where a file is read in many blocks and tasks."""
+    from brisa.operators.joins import lookup
+
+    lines = ["code,name"] + [f"{n % 700},name {n}" for n in range(5000)]
+    (tmp_path / "sheet.csv").write_text("\n".join(lines) + "\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        sheet = readers.read_dim(spark, f"{tmp_path}/sheet.csv")
+        assert sheet.columns == ["code", "name", "pos"]
+        assert spark.read.csv(f"{tmp_path}/sheet.csv").rdd.getNumPartitions() > 8
+        assert sorted((r["pos"], r["name"]) for r in sheet.collect()) == [(n + 1, f"name {n}") for n in range(5000)]
+        codes = spark.createDataFrame([(str(c),) for c in (0, 5, 699, 1000)], "code string")
+        found = {r["code"]: r["name"] for r in lookup(codes, sheet, "code", ["name"]).collect()}
+        assert found == {"0": "name 0", "5": "name 5", "699": "name 699", "1000": None}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_a_sheet_keeps_its_own_positions(spark, tmp_path):
+    (tmp_path / "sheet.csv").write_text("pos,code\n9,a\n4,b\n")
+    sheet = readers.load_dims(spark, str(tmp_path), ["sheet"], "csv")["sheet"]
+    assert sorted((r["pos"], r["code"]) for r in sheet.collect()) == [("4", "b"), ("9", "a")]
+
+
+def test_the_feed_names_its_version(spark, tmp_path):
+    items = spark.createDataFrame([("a", "b")], "title string, link string")
+    writers.write_feed(items, f"{tmp_path}/feed")
+    text = "".join(p.read_text() for p in (tmp_path / "feed").glob("part-*"))
+    import xml.etree.ElementTree as ET
+
+    root = ET.fromstring(text)
+    assert root.tag == "rss" and root.attrib == {"version": "2.0"} and root.find("channel/item/title").text == "a"
+
+
+def test_newest_times_are_kept(spark):
+    """A kept table of newest times finds the same rows, and of a table by day only their days are read."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from brisa.operators.dedupe import latest_per_station, newest_times
+
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    rows = [("a", at(1, 5), 1), ("a", at(1, 5), 2), ("b", at(3, 0), 3), ("b", at(2, 1), 4), ("c", at(9, 9), 5)]
+    df = spark.createDataFrame(rows, "station string, date timestamp, v int")
+    stored = newest_times(df.where("v <= 3"))
+    newest = newest_times(df.where("v > 3"), stored=stored)
+    by_day = df.withColumn("day", F.to_date(F.col("date") - F.expr("INTERVAL 1 HOUR")))
+    for found in (latest_per_station(df), latest_per_station(df, newest=newest), latest_per_station(by_day, newest=newest)):
+        assert sorted(r["v"] for r in found.collect()) == [1, 2, 3, 5]
+
+
+def test_signs_of_life_say_the_index(spark):
+    import datetime as dt
+
+    from brisa.plans.alerts import unchanged_alerts, with_air_quality
+
+    at = lambda h, m=0: dt.datetime(2024, 1, 8, h, m)
+    alerts = spark.createDataFrame([(at(7, 10), "alive", "x"), (at(15, 10), "alive", "y"), (at(7, 10), "fail", "z")], "time timestamp, kind string, text string")
+    country = spark.createDataFrame([(at(7), 3.7, "Fair"), (at(15), None, None)], "date timestamp, aqi double, band string")
+    found = {(r["kind"], r["time"].hour): r["text"] for r in with_air_quality(alerts, country).collect()}
+    assert found == {("alive", 7): "The air quality at 08/01/2024 08:10 is Fair, index 3 of 6.", ("alive", 15): "y", ("fail", 7): "z"}
+    runs = spark.createDataFrame([(at(h), h != 3) for h in range(1, 6)], "time_begin timestamp, file_found boolean")
+    published = spark.createDataFrame([(at(1), at(0)), (at(2), at(1)), (at(3), at(1)), (at(4), at(1)), (at(5), at(4))], "time_begin timestamp, last_update timestamp")
+    assert [r["time"].hour for r in unchanged_alerts(runs, published).collect()] == [4]
