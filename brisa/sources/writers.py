@@ -50,12 +50,6 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _drop_days(spark: SparkSession, path: str, days: DataFrame) -> None:
-    """Delete the partitions of the given days; they are calendar days, so there are few."""
-    for row in days.toLocalIterator():
-        remove(spark, f"{path.rstrip('/')}/day={row['day']}")
-
-
 def save_days(df: DataFrame, path: str, *order: str, rebuilt: DataFrame | None = None) -> None:
     """Replace the days (partition column ``day``) that occur in ``df`` and leave all others untouched.
 
@@ -65,11 +59,15 @@ def save_days(df: DataFrame, path: str, *order: str, rebuilt: DataFrame | None =
     what ``df`` is read from.
     """
     df = df.where("day IS NOT NULL")
+    cleared = []
     if rebuilt is not None:
         df = write_out(df, "days")  # evaluated once, for the rows and for the days that have any
         gone = rebuilt.where("day IS NOT NULL").select("day").distinct()
-        _drop_days(df.sparkSession, path, new_rows(gone, df, ["day"]))
+        # Calendar days, so there are few. They go last: until then readers find them as they were.
+        cleared = [row["day"] for row in new_rows(gone, df, ["day"]).toLocalIterator()]
     by_day(df, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    for day in cleared:
+        remove(df.sparkSession, f"{path.rstrip('/')}/day={day}")
 
 
 def by_day(df: DataFrame, *order: str) -> DataFrame:
