@@ -16,15 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa.llm.batches import Words, byte_class, configure_arrow, fresh, gram_hashes, mix, only, powers, slices, text_bytes
-from brisa.session import share
+from brisa.session import share, write_out
 
-# Labelled rows of each label to fit on, at most; slots of the hash.
-SAMPLE, LOG_SIZE = 2000, 16
+# Labelled rows of each label to fit on, at most, and bytes of their n-grams; slots of the hash.
+SAMPLE, SAMPLE_BYTES, LOG_SIZE = 2000, 64 << 20, 16
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 # A text is kept if its probability of good quality is at least this.
 KEEP = 0.5
@@ -194,8 +194,11 @@ def _platt(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(theta[0]), 1e-3), float(theta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, log_size: int = LOG_SIZE) -> Model | None:
-    """Learn from up to ``sample`` labelled documents of each label, chosen by a hash of their ids; a fifth of them calibrates."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, log_size: int = LOG_SIZE, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """Learn from up to ``sample`` labelled documents of each label, chosen by a hash of their ids; a fifth of them calibrates.
+
+    Of each label, as many as have ``sample_bytes`` of distinct n-grams together; one text has 2.5 MB of them at most.
+    """
     clear = only(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
     clear = clear.agg(F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
     order = F.xxhash64(F.col("doc_id").cast("string"))
@@ -205,7 +208,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, log_size: int
     texts = only(docs, "doc_id", "text").withColumn("hash", F.xxhash64("text"))
     one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "part").agg(F.min("hash").alias("hash"))
     rows = texts.join(F.broadcast(one), ["doc_id", "hash"]).select(F.col("doc_id").cast("string").alias("id"), "text", "label", "part")
-    found = _features(rows, log_size).dropDuplicates(["id"]).toArrow().to_pydict()
+    features = write_out(_features(rows, log_size).dropDuplicates(["id"]), "features")
+    # What comes to the driver does not follow the length of texts: rows in the order of the hash, up to the bound.
+    upto = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = features.select("id", "label", F.sum(F.octet_length("slots") + F.octet_length("values")).over(upto).alias("upto"))
+    found = features.join(F.broadcast(sizes.where(F.col("upto") <= sample_bytes).select("id")), "id").toArrow().to_pydict()
     # Rows come back in any order: sort them, so that sums and so the model do not depend on it.
     rows = sorted(zip(found["part"], found["label"], found["slots"], found["values"]))
     held = [[r for r in rows if (r[0] == 0) == test] for test in (False, True)]

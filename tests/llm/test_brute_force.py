@@ -188,3 +188,14 @@ def test_classifier_equals_its_weights(spark, log_size):
         assert found[i]["kept"] == (not found[i]["base_failed"] and found[i]["probability"] >= quality_rules.KEEP)
     right = [found[i]["probability"] >= 0.5 for i, _, q in texts if q], [found[i]["probability"] < 0.5 for i, _, q in texts if not q]
     assert all(np.mean(r) > 0.9 for r in right)
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    """Long labelled texts are fewer rows of the model, and a bound below one text leaves nothing to learn from."""
+    texts = [(i, prose(i, 400 + i), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in texts], "doc_id long, quality int")
+    assert quality_rules.fit(docs, labels, log_size=10, sample_bytes=1000) is None
+    small, whole = (quality_rules.fit(docs, labels, log_size=10, sample_bytes=size) for size in (200_000, 64 << 20))
+    assert small is not None and not np.array_equal(small.weights, whole.weights)
+    assert np.array_equal(whole.weights, quality_rules.fit(docs.repartition(5), labels, log_size=10).weights)

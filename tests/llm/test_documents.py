@@ -345,6 +345,39 @@ def test_token_files_round_trip(spark, edge, empty, tmp_path):
     assert token_files.read_tokens(spark, none).count() == 0
 
 
+def test_token_files_have_indexes_and_are_read_by_stripe(spark, tmp_path):
+    """Integer run lengths, row indexes and a Bloom filter on ids alone; stripes of one file are read by different tasks."""
+    path, hadoop = str(tmp_path / "tokens"), spark.sparkContext._jsc.hadoopConfiguration()
+    docs = spark.createDataFrame([(3 * i, f"document {i} of many words {i * i}") for i in range(60_000)], "doc_id long, text string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.shuffle.partitions")}
+    hadoop.set("orc.stripe.size", "40000")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        token_files.write_tokens(docs, path, tokenizer_path(WORDS))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        [file] = spark.read.orc(path).inputFiles()
+        orc, at = spark._jvm.org.apache.orc.OrcFile, spark._jvm.org.apache.hadoop.fs.Path(file)
+        reader = orc.createReader(at, orc.readerOptions(hadoop))
+        stripes = list(reader.getStripes())
+        assert len(stripes) > 2 and reader.getRowIndexStride() > 0
+        rows = reader.rows()
+        for stripe in stripes:
+            footer = rows.readStripeFooter(stripe)
+            streams = [(x.getKind().toString(), x.getColumn()) for x in footer.getStreamsList()]
+            assert [c for kind, c in streams if kind.startswith("BLOOM_FILTER")] == [1]  # doc_id
+            assert {c for kind, c in streams if kind == "ROW_INDEX"} == set(range(6))
+            assert {c.getKind().toString() for c in list(footer.getColumnsList())[1:]} == {"DIRECT_V2"}
+        back = token_files.read_tokens(spark, path)
+        assert spark.read.orc(path).rdd.getNumPartitions() > 2
+        assert back.count() == 60_000 and back.where("doc_id = 300").first()["n_tokens"] == len(back.where("doc_id = 300").first()["ids"])
+        assert back.where("doc_id = 301").count() == 0
+    finally:
+        hadoop.unset("orc.stripe.size")
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 # --- secrets ---------------------------------------------------------------------------------
 
 

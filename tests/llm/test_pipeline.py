@@ -39,7 +39,10 @@ def test_every_stage_by_brute_force(spark, tmp_path):
     sf = str(tmp_path)
     docs = spark.createDataFrame([(i, t, "x", len(t)) for i, t, _, _ in rows], "doc_id long, text string, source string, n_chars int").repartition(5)
     docs.write.parquet(f"{sf}/documents.parquet")
-    spark.createDataFrame([(i, q, 0) for i, _, _, q in rows if q is not None], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    # Labels without an id or a quality, of unknown documents, repeated, and both ways: none of them changes what the rules learn.
+    odd = [(None, 1, 0), (None, None, None), (90, None, 0), (91, 7, 0), (92, 0, 0), (92, 1, 0), (10**9, 0, 1), (1, 1, 0), (1, 1, 1)]
+    labels = odd + [(i, q, 0) for i, _, _, q in rows if q is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
     spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
 
     expected = [(i, t) for i, t, good, _ in rows if good and not base_counts(t)[-1]]
