@@ -37,13 +37,15 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids of pieces, found by ``encode`` when first asked for."""
+    """Ids of pieces, found by ``piece`` when first asked for, or else by ``whole``."""
 
-    def __init__(self, encode):
-        self.encode, self.bytes = encode, 0
+    def __init__(self, piece, whole):
+        self.piece, self.whole, self.bytes = piece, whole, 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
+        ids = self.piece(piece)
+        if ids is None:
+            ids = self.whole([piece])[0]
         size = len(piece) + len(ids)
         if size <= LONGEST:
             if self.bytes > MOST_BYTES:
@@ -66,8 +68,9 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None  # the one that folds case also drops white space
         self.letters = byte_letters()
+        self.four = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.tails: dict[str, bytes] = {"": b""}
-        self.known = _Known(self._learned)
+        self.known = _Known(self._piece, self.whole)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -77,7 +80,8 @@ class PieceEncoder:
         """Ids of a run of letters, with at most one space before it: the model's merges without the cutting."""
         # ASCII letters and digits stand for themselves.
         mapped = (word if word[0] != " " else self.letters[0x20] + word[1:]) if word.isascii() else "".join([self.letters[b] for b in word.encode()])
-        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        four = self.four
+        return b"".join([four[t.id] for t in self.model.tokenize(mapped)])
 
     def _word(self, word: str) -> bytes:
         """Ids of a word of letters, with at most one separator before it; those of another tail are of no account."""
@@ -120,10 +124,6 @@ class PieceEncoder:
             return flat.split(" ")
         return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
 
-    def _learned(self, piece: str) -> bytes:
-        ids = self._piece(piece)
-        return self.whole([piece])[0] if ids is None else ids
-
     def encode(self, texts: list[str]) -> list[bytes]:
         known, out = self.known.__getitem__, []
         for text in texts:
